@@ -1,0 +1,20 @@
+"""Near-duplicate removal with the parameters checked first."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from siftwork.operators.near_duplicates import MinHashParameters, drop_near_duplicates
+
+
+def minhash_deduplicate(
+    docs: DataFrame,
+    num_hashes: int,
+    num_bands: int,
+    ngrams: int,
+    jaccard_threshold: float,
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """Keep the smallest key of each cluster of near-duplicates."""
+    return drop_near_duplicates(docs, MinHashParameters(num_hashes, num_bands, ngrams, jaccard_threshold), key, text)
