@@ -139,9 +139,9 @@ def word_rows(name: str, source: str, text: str, keep: str) -> list[str]:
 def trigram_rows(name: str, source: str, text: str, keep: str) -> list[str]:
     letters = f"' ' || trim(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{M}}]+', ' ', 'g'), ' ') || ' '"
     return [
-        f"{name}_s AS (SELECT {keep}, {letters} AS s FROM {source})",
+        f"{name}_s AS (SELECT {keep}, string_split({letters}, '') AS s FROM {source})",
         f"""{name} AS (SELECT {keep}, unnest(list_concat([''],
-          list_transform(range(1, greatest(len(s) - 1, 1)), lambda i: substr(s, i, 3)))) AS feature FROM {name}_s)""",
+          list_transform(range(1, greatest(len(s) - 1, 1)), lambda i: s[i] || s[i + 1] || s[i + 2]))) AS feature FROM {name}_s)""",
     ]
 
 
@@ -170,7 +170,7 @@ def verdict(h: C.Head) -> str:
     sums = [f"s_{h.weight(i)}" for i in range(len(h.classes))]
     best = f"greatest({', '.join(sums)})"
     label = "CASE " + " ".join(f"WHEN {s} = {best} THEN {q(c)}" for s, c in zip(sums, h.classes, strict=True)) + " END"
-    mass = " + ".join(f"exp(({s} - {best}) * ({h.sharpness} / (n_known * {float(C.UNIT)})))" for s in sums)
+    mass = " + ".join(f"exp(({s} - {best}) * {h.sharpness}::DOUBLE / (n_known * {float(C.UNIT)}::DOUBLE))" for s in sums)
     return f"{label} AS {h.label}_label, round(1 / ({mass}), 6) AS {h.label}_score"
 
 

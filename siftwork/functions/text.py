@@ -45,8 +45,17 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    stripped = strip(text)
-    return F.when(stripped == "", F.lit(0)).otherwise(F.size(F.split(stripped, WS)))
+    return flat_word_count(flatten_ws(text))
+
+
+def flat_word_count(flat: Column) -> Column:
+    """Words of a text whose white space is already flattened: one more than its spaces."""
+    return F.when(flat == "", F.lit(0)).otherwise(F.length(flat) - flat_length(flat) + 1)
+
+
+def flat_length(flat: Column) -> Column:
+    """Characters other than white space of a flattened text."""
+    return F.length(F.replace(flat, F.lit(" "), F.lit("")))
 
 
 def excerpt(text: Column, length: int = 800) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.functions import text as T
@@ -79,7 +79,7 @@ def feature_counts(
     """Occurrences of every feature in each class of each head; frequent features are combined map-side."""
     rows = features.explode(df, text, *[h.label for h in heads])
     counts = [
-        F.count_if(F.col(h.label) == c).alias(h.count(i)) for h in heads for i, c in enumerate(h.classes)
+        F.expr(f"count_if({h.label} = '{c}') AS {h.count(i)}") for h in heads for i, c in enumerate(h.classes)
     ]
     return rows.groupBy("feature").agg(*counts, F.count(F.lit(1)).alias("total"))
 
@@ -102,21 +102,18 @@ def train(
         .orderBy(F.col("feature") != BIAS, F.desc("total"), "feature")
         .limit(max_features)
     )
-    # at most max_features rows, already in one partition after the top-k
-    everything = Window.partitionBy(F.lit(1))
-    is_bias = F.col("feature") == BIAS
-    size = F.count_if(~is_bias).over(everything)
-    weights = {}
+    # OVER (): at most max_features rows, already in one partition after the top-k
+    weights = []
     for h in heads:
-        documents = sum((F.col(h.count(i)) for i in range(1, len(h.classes))), F.col(h.count(0)))
+        documents = " + ".join(h.count(i) for i in range(len(h.classes)))
         for i in range(len(h.classes)):
-            n = F.col(h.count(i))
-            class_total = F.sum(F.when(~is_bias, n).otherwise(0)).over(everything)
-            log_p = F.when(is_bias, F.log((n + 1) / (documents + len(h.classes)))).otherwise(
-                F.log((n + 1) / (class_total + size))
+            n = h.count(i)
+            class_total = "sum(if(feature <> '', {0}, 0)) OVER ()".format(n)
+            weights.append(
+                f"""cast(round({UNIT} * if(feature = '{BIAS}', ln(({n} + 1) / ({documents} + {len(h.classes)})),
+                    ln(({n} + 1) / ({class_total} + count_if(feature <> '') OVER ())))) AS bigint) AS {h.weight(i)}"""
             )
-            weights[h.weight(i)] = F.round(log_p * UNIT).cast("long")
-    return vocabulary.withColumns(weights)
+    return vocabulary.selectExpr("*", *weights)
 
 
 def score_sums(
@@ -134,7 +131,7 @@ def score_sums(
     known = features.explode(df, text, *keep, when=when).join(
         F.broadcast(model.select("feature", *wanted)), "feature"
     )
-    return known.groupBy(*keep).agg(*[F.sum(w).alias(w) for w in wanted], F.count(F.lit(1)).alias("_n"))
+    return known.groupBy(*keep).agg(*[F.expr(f"sum({w}) AS {w}") for w in wanted], F.count(F.lit(1)).alias("_n"))
 
 
 def scores(
@@ -159,14 +156,11 @@ def verdicts(heads: tuple[Head, ...]) -> list[Column]:
 
 
 def _verdict(h: Head) -> list[Column]:
-    raw = [F.col(h.weight(i)) for i in range(len(h.classes))]
-    best = F.greatest(*raw)
-    label = F.lit(h.classes[-1])
-    for i in reversed(range(len(h.classes) - 1)):
-        label = F.when(raw[i] == best, h.classes[i]).otherwise(label)
-    scale = F.lit(h.sharpness) / (F.col("_n") * F.lit(float(UNIT)))
-    mass = sum((F.exp((r - best) * scale) for r in raw[1:]), F.exp((raw[0] - best) * scale))
-    return [label.alias(f"{h.label}_label"), F.round(1 / mass, 6).alias(f"{h.label}_score")]
+    sums = [h.weight(i) for i in range(len(h.classes))]
+    best = f"greatest({', '.join(sums)})"
+    label = " ".join(f"WHEN {s} = {best} THEN '{c}'" for s, c in zip(sums, h.classes, strict=True))
+    mass = " + ".join(f"exp(({s} - {best}) * {h.sharpness}D / (_n * {UNIT}D))" for s in sums)
+    return [F.expr(f"CASE {label} END AS {h.label}_label"), F.expr(f"round(1 / ({mass}), 6) AS {h.label}_score")]
 
 
 def evaluate(df: DataFrame, truth: str, predicted: str) -> DataFrame:

@@ -85,7 +85,7 @@ def signatures(df: DataFrame, p: MinHashParameters, keys: list[str], grams: str
     """
     hashed = df.select(*keys, F.explode(grams).alias("_gram")).select(*keys, base_hash(F.col("_gram")).alias("_h"))
     minima = [
-        F.min((F.lit(a) * F.col("_h") + F.lit(b)) % F.lit(PRIME)).alias(f"sig_{i}")
+        F.expr(f"min(({a} * _h + {b}) % {PRIME}) AS sig_{i}")
         for i, (a, b) in enumerate(minhash_family(p.num_hashes, p.seed))
     ]
     return hashed.groupBy(*keys).agg(*minima)
@@ -93,18 +93,11 @@ def signatures(df: DataFrame, p: MinHashParameters, keys: list[str], grams: str
 
 def band_rows(signature: DataFrame, p: MinHashParameters, key: str) -> DataFrame:
     """``(band, b0, b1, key)``: one row per document and band; ``b0, b1`` are 128 bits of the band's values."""
-    r = p.rows_per_band
-    bands = []
+    r, bands = p.rows_per_band, []
     for b in range(p.num_bands):
-        values = [F.col(f"sig_{i}") for i in range(b * r, b * r + r)]
-        bands.append(
-            F.struct(
-                F.lit(b).alias("band"),
-                F.xxhash64(*values).alias("b0"),
-                F.xxhash64(F.lit("second half"), *values).alias("b1"),
-            )
-        )
-    return signature.select(key, F.inline(F.array(*bands))).select(*BUCKET, key)
+        values = ", ".join(f"sig_{i}" for i in range(b * r, b * r + r))
+        bands.append(f"struct({b} AS band, xxhash64({values}) AS b0, xxhash64('second half', {values}) AS b1)")
+    return signature.selectExpr(key, f"inline(array({', '.join(bands)}))").select(*BUCKET, key)
 
 
 @dataclass
@@ -129,12 +122,10 @@ def _prepare(df: DataFrame, p: MinHashParameters, key: str, text: str) -> _Prepa
     )
     signed = materialize(signatures(keyed, p, ["_id", *set_key]))
     smallest = signed.groupBy(*set_key).agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    documents = materialize(
-        salted_join(
-            signed.select("_id", *set_key), smallest.drop("n"), set_key, F.col("_id"), counts=smallest
-        ).select("_id", "rep")
-    )
-    unique = signed.join(documents.where("_id = rep").select("_id"), "_id", "left_semi")
+    documents = salted_join(
+        signed.select("_id", *set_key), smallest.drop("n"), set_key, F.col("_id"), counts=smallest
+    ).select("_id", "rep")
+    unique = signed.join(smallest.select(F.col("rep").alias("_id")), "_id", "left_semi")
     bands = band_rows(unique.withColumnRenamed("_id", "rep"), p, "rep")
     shared = bands.groupBy(*BUCKET).agg(F.min("rep").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = materialize(
@@ -164,8 +155,13 @@ def _star_pairs(buckets: DataFrame) -> DataFrame:
     return buckets.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
 
 
-def _outsider_pairs(buckets: DataFrame, labels: DataFrame, grams: DataFrame, p: MinHashParameters) -> DataFrame:
-    """Pairs still to compare after the stars: members outside the first member's component against their bucket."""
+def _outsider_pairs(
+    buckets: DataFrame, labels: DataFrame, grams: DataFrame, p: MinHashParameters
+) -> DataFrame | None:
+    """Pairs still to compare after the stars: members outside the first member's component against their bucket.
+
+    None when every bucket is finished.
+    """
     sizes = grams.select("rep", "n_grams")
     node = labels.select(F.col("node").alias("rep"), "component")
     labelled = (
@@ -198,19 +194,21 @@ def _outsider_pairs(buckets: DataFrame, labels: DataFrame, grams: DataFrame, p:
     return pairs.select(F.least("rep", "_o").alias("a"), F.greatest("rep", "_o").alias("b")).distinct()
 
 
-def _links(df: DataFrame, p: MinHashParameters, key: str, text: str) -> tuple[_Prepared, DataFrame, DataFrame]:
-    """Prepared tables, verified star links and (if any are needed) components of the representatives."""
+def _clusters(df: DataFrame, p: MinHashParameters, key: str, text: str) -> tuple[_Prepared, DataFrame]:
+    """Prepared tables and the components of the representatives."""
     prepared = _prepare(df, p, key, text)
-    verified = materialize(_jaccard(_star_pairs(prepared.buckets), prepared.grams).where(F.col("jaccard") >= p.threshold))
-    labels = components(verified, "a", "b")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        return _jaccard(pairs, prepared.grams).where(F.col("jaccard") >= p.threshold).select("a", "b")
+
+    labels = components(links(_star_pairs(prepared.buckets)), "a", "b")
     pairs = _outsider_pairs(prepared.buckets, labels, prepared.grams, p)
-    if pairs is None:
-        return prepared, verified, labels
-    more = materialize(_jaccard(pairs, prepared.grams).where(F.col("jaccard") >= p.threshold))
-    if not more.isEmpty():
-        edges = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more.select("a", "b"))
-        labels = components(edges, "a", "b")
-    return prepared, verified.union(more), labels
+    if pairs is not None:
+        more = materialize(links(pairs))
+        if not more.isEmpty():
+            known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels = components(known.union(more), "a", "b")
+    return prepared, labels
 
 
 def candidate_links(
@@ -243,7 +241,7 @@ def duplicate_clusters(
     df: DataFrame, p: MinHashParameters, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``(key, cluster_id)`` of every document that has duplicates; ``cluster_id`` is the smallest key."""
-    prepared, _, labels = _links(df, p, key, text)
+    prepared, labels = _clusters(df, p, key, text)
     named = prepared.documents.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("_id").alias(key), F.coalesce("component", "rep").alias("cluster_id")
     )

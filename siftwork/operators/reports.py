@@ -26,22 +26,22 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.round(F.when(whole > 0, part / whole).otherwise(F.lit(0.0)), 6)
 
 
-def _counters() -> list[Column]:
-    kept = F.col("reason").isNull()
-    hits = F.col("n_email") + F.col("n_phone") + F.col("n_ip")
+#: A kept document and its number of masked places, for the counters below.
+_KEPT, _HITS = "reason IS NULL", "(n_email + n_phone + n_ip)"
+COUNTERS = (
+    "count(1) AS total",
+    f"count_if({_KEPT}) AS kept",
+    *[f"count_if(reason <=> '{r}') AS rejected_{r}" for r in REASONS],
+    *[
+        f"cast(coalesce(sum(if({_KEPT}, {column}, 0)), 0) AS bigint) AS {name}"
+        for column, name in (("n_email", "masked_emails"), ("n_phone", "masked_phone_numbers"), ("n_ip", "masked_ips"))
+    ],
+    f"count_if({_KEPT} AND {_HITS} > 0) AS modified_pii_documents",
+)
 
-    def total(c: str) -> Column:
-        return F.coalesce(F.sum(F.when(kept, F.col(c))), F.lit(0)).cast("long")
 
-    return [
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(kept).alias("kept"),
-        *[F.count_if(F.col("reason") == r).alias(f"rejected_{r}") for r in REASONS],
-        total("n_email").alias("masked_emails"),
-        total("n_phone").alias("masked_phone_numbers"),
-        total("n_ip").alias("masked_ips"),
-        F.count_if(kept & (hits > 0)).alias("modified_pii_documents"),
-    ]
+def _counters() -> list[Column]:
+    return [F.expr(c) for c in COUNTERS]
 
 
 def filter_report(judged: DataFrame) -> DataFrame:

@@ -26,28 +26,33 @@ def length_reason(n_words: Column) -> Column:
     )
 
 
-def with_rule_measures(df: DataFrame, text: str = "text", when: Column | None = None) -> DataFrame:
-    """Adds n_tokens, mean_len, ellipsis_share, alpha_share (null where ``when`` is false)."""
-    source = F.col(text) if when is None else F.when(when, F.col(text))
-    tokens = F.col("_tokens")
-    lines = F.col("_lines")
-    n_tokens = F.size(tokens)
-    n_chars = F.length(F.regexp_replace(source, T.WS, ""))
-    return (
-        df.withColumns({"_tokens": T.rule_tokens(source), "_lines": F.split(source, "\n"), "_chars": n_chars})
-        .withColumns(
-            {
-                "n_tokens": F.when(tokens.isNotNull(), n_tokens),
-                # tokens cover every non-space character exactly once, so their total length needs no sum
-                "mean_len": F.when(n_tokens > 0, F.col("_chars") / n_tokens),
-                "ellipsis_share": F.size(F.filter(lines, lambda x: F.endswith(x, F.lit("...")))) / F.size(lines),
-                "alpha_share": F.when(
-                    n_tokens > 0, F.size(F.filter(tokens, lambda x: x.rlike(r"\p{L}"))) / n_tokens
-                ),
-            }
-        )
-        .drop("_tokens", "_lines", "_chars")
+def with_rule_measures(df: DataFrame, text: str = "text", flat: str | None = None, when: Column | None = None) -> DataFrame:
+    """Adds n_tokens, mean_len, ellipsis_share, alpha_share (null where ``when`` is false).
+
+    ``flat`` names a column with the text's white space flattened, if there is one already.
+    """
+    if flat is None:
+        df, flat = df.withColumn("_flat", T.flatten_ws(F.col(text))), "_flat"
+
+    def wanted(c: str) -> Column:
+        return F.col(c) if when is None else F.when(when, F.col(c))
+
+    parts = df.withColumns(
+        {
+            "_tokens": T.rule_tokens(wanted(flat)),
+            "_lines": F.split(wanted(text), "\n"),
+            "_chars": T.flat_length(wanted(flat)),
+        }
+    )
+    # tokens cover every non-space character exactly once, so their total length is the number of such characters
+    measures = parts.selectExpr(
+        "*",
+        "if(_tokens IS NULL, NULL, size(_tokens)) AS n_tokens",
+        "if(size(_tokens) > 0, _chars / size(_tokens), NULL) AS mean_len",
+        "size(filter(_lines, x -> endswith(x, '...'))) / size(_lines) AS ellipsis_share",
+        r"if(size(_tokens) > 0, size(filter(_tokens, x -> x rlike r'\p{L}')) / size(_tokens), NULL) AS alpha_share",
     )
+    return measures.drop("_tokens", "_lines", "_chars", "_flat")
 
 
 def failed_rule() -> Column:
@@ -60,14 +65,15 @@ def failed_rule() -> Column:
     )
 
 
-def with_rule_reason(df: DataFrame, text: str = "stripped", n_words: str = "n_words") -> DataFrame:
+def with_rule_reason(df: DataFrame, text: str = "stripped") -> DataFrame:
     """Adds ``reason`` from the length and quality rules alone. Tokens are made only where the length rule passes."""
-    measured = with_rule_measures(
-        df.withColumn("_length_reason", length_reason(F.col(n_words))), text, F.col("_length_reason").isNull()
+    flat = df.withColumn("_flat_text", T.flatten_ws(F.col(text)))
+    sized = flat.withColumn("_length_reason", length_reason(T.flat_word_count(F.col("_flat_text"))))
+    measured = with_rule_measures(sized, text, "_flat_text", F.col("_length_reason").isNull())
+    reason = F.coalesce("_length_reason", F.when(failed_rule().isNotNull(), "gopher"))
+    return measured.withColumn("reason", reason).drop(
+        "_flat_text", "_length_reason", "n_tokens", "mean_len", "ellipsis_share", "alpha_share"
     )
-    return measured.withColumn(
-        "reason", F.coalesce("_length_reason", F.when(failed_rule().isNotNull(), "gopher"))
-    ).drop("_length_reason", "n_tokens", "mean_len", "ellipsis_share", "alpha_share")
 
 
 def final_reason(

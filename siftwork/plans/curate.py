@@ -26,9 +26,8 @@ class Models:
 
 
 def screened(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``stripped``, ``n_words`` and the ``reason`` given by the length and quality rules."""
-    measured = docs.withColumn("stripped", T.strip(F.col(text)))
-    return rules.with_rule_reason(measured.withColumn("n_words", T.word_count(F.col("stripped"))))
+    """Adds ``stripped`` and the ``reason`` given by the length and quality rules."""
+    return rules.with_rule_reason(docs.withColumn("stripped", T.strip(F.col(text))))
 
 
 def judge(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -53,11 +53,12 @@ def select_examples(
     All must be English. Positive examples must also pass the quality rules and be confidently free of harm. Only
     narrow verdict tables are joined.
     """
-    flat = docs.select(key, label, T.flatten_ws(F.col(text)).alias("_flat"))
-    measured = rules.with_rule_measures(flat, "_flat", F.col(label) == POSITIVE)
-    verdict = measured.select(key, label, (F.col("_flat") == "").alias("_empty"), rules.failed_rule().isNotNull().alias("_fails"))
-    spoken = L.identify(flat, languages, key, "_flat")
-    harmless = C.scores(flat.where(F.col(label) == POSITIVE), harm, harm_heads, C.WORDS, key, "_flat")
+    flat = docs.select(key, label, T.flatten_ws(F.col(text)).alias("_flattened"))
+    flat = flat.withColumn("_is_empty", F.col("_flattened") == "")
+    measured = rules.with_rule_measures(flat, "_flattened", "_flattened", F.col(label) == POSITIVE)
+    verdict = measured.select(key, label, F.col("_is_empty").alias("_empty"), rules.failed_rule().isNotNull().alias("_fails"))
+    spoken = L.identify(flat, languages, key, "_flattened")
+    harmless = C.scores(flat.where(F.col(label) == POSITIVE), harm, harm_heads, C.WORDS, key, "_flattened")
     joined = verdict.join(spoken.withColumnsRenamed({"label": "_lang", "score": "_lang_score"}), key).join(
         harmless, key, "left"
     )

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The call site of every column function is not needed; recording it costs more than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Texts can be long: keep Arrow batches small enough for a Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
