@@ -11,16 +11,16 @@ ROWS_PER_SALT = 100_000
 HOT_KEYS = 10_000
 
 
-def hot_keys(counts: DataFrame, keys: list[str], count: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Keys with more than ``rows_per_salt`` rows, at most ``HOT_KEYS`` of them, with their number of salts.
+def hot_keys(counts: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Keys with more than ``ROWS_PER_SALT`` rows, at most ``HOT_KEYS`` of them, with their number of salts.
 
     ``counts`` holds one row per key. The result is bounded by ``HOT_KEYS`` rows, so it may be broadcast.
     """
     return (
-        counts.where(F.col(count) > rows_per_salt)
+        counts.where(F.col(count) > ROWS_PER_SALT)
         .orderBy(F.desc(count), *keys)
         .limit(HOT_KEYS)
-        .select(*keys, F.ceil(F.col(count) / rows_per_salt).cast("int").alias("_salts"))
+        .select(*keys, F.ceil(F.col(count) / ROWS_PER_SALT).cast("int").alias("_salts"))
     )
 
 
@@ -31,7 +31,6 @@ def salted_join(
     salt_on: Column,
     how: str = "inner",
     counts: DataFrame | None = None,
-    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Join ``large`` with ``small`` on ``keys``; rows of a hot key are spread over several tasks.
 
@@ -41,7 +40,7 @@ def salted_join(
     """
     if counts is None:
         counts = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.broadcast(hot_keys(counts, keys, "n", rows_per_salt))
+    hot = F.broadcast(hot_keys(counts, keys, "n"))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     spread = (
         large.join(hot, keys, "left")
