@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as P
@@ -78,9 +80,16 @@ def clean_urls(df: DataFrame) -> DataFrame:
 
 
 def read_document_folder(spark: SparkSession, path: str) -> DataFrame:
-    """``(name, text)``: one row per file. Files are taken whole, with their final newline."""
-    files = spark.read.option("wholetext", "true").text(path)
-    return files.select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
+    """``(name, text)``: one row per file, bytes as they are.
+
+    Spark gives empty files no row, so their names are added from the file listing it holds already.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    found = files.select(name.alias("name"), F.col("content").cast("string").alias("text"))
+    listed = [(unquote(file.rsplit("/", 1)[-1]),) for file in files.inputFiles()]
+    empty = spark.createDataFrame(listed, "name string").join(found.select("name"), "name", "left_anti")
+    return found.unionByName(empty.withColumn("text", F.lit("")))
 
 
 def write_document_folder(df: DataFrame, path: str, name: str = "name", text: str = "text") -> None:
