@@ -458,7 +458,9 @@ ORACLE: dict[str, str] = {
         WHEN len(string_split(h, '.')) < 2 THEN '' ELSE array_to_string(string_split(h, '.')[-2:], '.') END AS domain
         FROM (SELECT page_id, rtrim({_HOST}, '.') AS h FROM pages)""",
     "valid_urls": with_(CLEAN_URLS, "SELECT url FROM clean"),
-    "url_extract": f"SELECT DISTINCT rtrim(u, '.:?-') AS url FROM (SELECT unnest(regexp_extract_all(html, {q(_URL_RUN)})) AS u FROM pages)",
+    "url_extract": f"""SELECT DISTINCT rtrim(u, '.:?-') AS url FROM (SELECT unnest(regexp_extract_all(
+        regexp_extract(replace(html, chr(10), ' ') || ' &lt;ref&gt;' || url || '. &lt;/ref&gt; ' || url, '&lt;ref&gt(.*)&lt;/ref&gt;'),
+        {q(_URL_RUN)})) AS u FROM pages)""",
     "url_sample": with_(CLEAN_URLS, f"SELECT url, row_number() OVER (ORDER BY {order_key('url')}, url) AS rank FROM clean QUALIFY rank <= 10000"),
     "manifest_chunks": f"""SELECT CAST((r - 1) // 4 AS INTEGER) AS chunk, count(*) AS n_files, arg_min(url, r) AS first_url
         FROM (SELECT url, row_number() OVER (ORDER BY {order_key('url')}, url) AS r FROM pages) WHERE r <= 40 GROUP BY 1""",

@@ -221,8 +221,11 @@ def valid_urls(spark, sf):
 
 
 def url_extract(spark, sf):
-    found = pages(spark, sf).select(F.explode(U.urls_in(F.col("html"))).alias("url"))
-    return files.distinct_urls(found)
+    """Each page is cited as in a wiki dump: its source, then an escaped reference to its URL, with a full stop."""
+    lines = pages(spark, sf, "html", "url").select(
+        F.concat(F.translate("html", "\n", " "), F.lit(" &lt;ref&gt;"), F.col("url"), F.lit(". &lt;/ref&gt; "), F.col("url")).alias("line")
+    )
+    return files.distinct_urls(lines.select(F.explode(U.reference_urls(F.col("line"))).alias("url")))
 
 
 def url_sample(spark, sf):

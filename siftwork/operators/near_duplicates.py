@@ -229,12 +229,12 @@ def verified_links(
     df: DataFrame, p: MinHashParameters, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The candidate links with the true Jaccard similarity of their gram sets, where it reaches the threshold."""
-    links = candidate_links(df, p, key, text)
-    sets = with_grams(df.select(key, text), p.ngrams, text).select(
-        F.col(key).alias("rep"), "grams",
-        F.size("grams").alias("n_grams"),
+    links = materialize(candidate_links(df, p, key, text))
+    linked = links.select(F.explode(F.array("a", "b")).alias(key)).distinct()
+    sets = with_grams(df.select(key, text).join(linked.hint("shuffle_hash"), key, "left_semi"), p.ngrams, text).select(
+        F.col(key).alias("rep"), "grams", F.size("grams").alias("n_grams")
     )
-    return _jaccard(materialize(links), sets).where(F.col("jaccard") >= p.threshold)
+    return _jaccard(links, materialize(sets)).where(F.col("jaccard") >= p.threshold)
 
 
 def duplicate_clusters(

@@ -22,6 +22,10 @@ STAGES = (
 )
 
 
+def percent(part: Column, whole: Column) -> Column:
+    return F.round(F.when(whole > 0, 100 * part / whole).otherwise(F.lit(0.0)), 6)
+
+
 def _ratio(part: Column, whole: Column) -> Column:
     return F.round(F.when(whole > 0, part / whole).otherwise(F.lit(0.0)), 6)
 
@@ -105,8 +109,7 @@ def kept_text_share(df: DataFrame, n_chars: Column, kept: Column) -> DataFrame:
         F.coalesce(F.sum(n_chars), F.lit(0)).alias("total_chars"),
         F.coalesce(F.sum(F.when(kept, n_chars)), F.lit(0)).alias("kept_chars"),
     )
-    share = F.when(F.col("total_chars") > 0, 100 * F.col("kept_chars") / F.col("total_chars")).otherwise(F.lit(0.0))
-    return totals.withColumn("kept_percent", F.round(share, 6))
+    return totals.withColumn("kept_percent", percent(F.col("kept_chars"), F.col("total_chars")))
 
 
 def confusion(df: DataFrame, truth: str, predicted: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwork.operators import language as L
+from siftwork.operators import reports
+from siftwork.sources.tables import spread
+from siftwork.sources.warc import read_wet
 
 
 def english_documents(docs: DataFrame, model: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -13,3 +16,20 @@ def english_documents(docs: DataFrame, model: DataFrame, key: str = "doc_id", te
     found = L.identify(docs, model, key, text)
     english = found.where(L.is_confident_english(F.col("label"), F.col("score"))).select(key)
     return docs.join(english.hint("shuffle_hash"), key, "left_semi")
+
+
+def filter_crawl(spark: SparkSession, path: str, model: DataFrame, output: str) -> DataFrame:
+    """Write the English records of WET files as Parquet and return the share of text kept.
+
+    Record ids are unique by the archive format, so they serve as key. Few gzip files are spread over the cluster.
+    """
+    docs = spread(read_wet(spark, path))
+    english_documents(docs, model, "record_id").write.mode("overwrite").parquet(output)
+    lengths = docs.select(F.length("text").alias("n"), F.lit(False).alias("kept")).unionByName(
+        spark.read.parquet(output).select(F.length("text").alias("n"), F.lit(True).alias("kept"))
+    )
+    totals = lengths.agg(
+        F.coalesce(F.sum(F.when(~F.col("kept"), F.col("n"))), F.lit(0)).alias("total_chars"),
+        F.coalesce(F.sum(F.when(F.col("kept"), F.col("n"))), F.lit(0)).alias("kept_chars"),
+    )
+    return totals.withColumn("kept_percent", reports.percent(F.col("kept_chars"), F.col("total_chars")))

@@ -75,14 +75,16 @@ def test_incremental_curation_equals_batch(spark, models, corpus, tmp_path):
     assert reported == 7
 
 
+LANGUAGE_ROWS = [
+    ("en", "the history of the town and the river with all of its bridges that were built"),
+    ("fr", "la ville et son histoire avec tous les ponts que nous avons construits sur le fleuve"),
+    ("de", "die geschichte der stadt und des flusses mit allen brücken die gebaut wurden"),
+    ("es", "la historia de la ciudad y del río con todos los puentes que se construyeron"),
+] * 3
+
+
 def test_languages(spark):
-    rows = [
-        ("en", "the history of the town and the river with all of its bridges that were built"),
-        ("fr", "la ville et son histoire avec tous les ponts que nous avons construits sur le fleuve"),
-        ("de", "die geschichte der stadt und des flusses mit allen brücken die gebaut wurden"),
-        ("es", "la historia de la ciudad y del río con todos los puentes que se construyeron"),
-    ] * 3
-    model = L.train_languages(spark.createDataFrame(rows, "lang string, text string")).cache()
+    model = L.train_languages(spark.createDataFrame(LANGUAGE_ROWS, "lang string, text string")).cache()
     asked = [
         (1, "the bridges of the town\n"), (2, "欢迎来到我们的网站"), (3, "добро пожаловать на наш сайт"), (4, "日本語のページへようこそ"),
         (5, "die brücken der stadt"), (6, ""), (7, "καλώς ήρθατε στη σελίδα μας"), (8, "웹사이트에 오신 것을 환영합니다"),
@@ -94,6 +96,23 @@ def test_languages(spark):
     assert [r["doc_id"] for r in english.english_documents(df, model).collect()] == [1]
 
 
+def test_crawl_prefilter_and_review(spark, tmp_path):
+    from test_sources import record
+
+    from siftwork.sources.files import review_blocks
+
+    texts = ["the history of the town", "die geschichte der stadt"]
+    model = L.train_languages(spark.createDataFrame(LANGUAGE_ROWS, "lang string, text string")).cache()
+    (tmp_path / "a.wet").write_bytes(b"".join(record("conversion", t.encode(), WARC_Record_ID=f"<{t[:3]}>") for t in texts))
+    report = english.filter_crawl(spark, str(tmp_path / "a.wet"), model, str(tmp_path / "en")).first()
+    assert (report["total_chars"], report["kept_chars"]) == (len(texts[0] + texts[1]), len(texts[0]))
+    kept = spark.read.parquet(str(tmp_path / "en"))
+    assert [r["text"] for r in kept.collect()] == texts[:1]
+    found = L.identify(kept, model, "record_id").join(kept, "record_id")
+    block = review_blocks(found, "record_id").first()["block"]
+    assert "prediction: en" in block and texts[0] in block
+
+
 def test_sampling(spark):
     df = spark.createDataFrame([(i, "wiki" if i % 4 == 0 else "cc") for i in range(200)], "doc_id long, label string")
     samples = [[r["doc_id"] for r in sampling.seeded_sample(df.repartition(n), "doc_id", 5).orderBy("rank").collect()] for n in (1, 7)]
