@@ -9,7 +9,7 @@ from catalog.queries import HEADS, MINHASH
 from siftwork.functions import html, pii
 from siftwork.functions import urls as U
 from siftwork.functions.hashing import PRIME, SEED, minhash_family
-from siftwork.functions.text import TOKEN, WS_CHARS, WS_CLASS
+from siftwork.functions.text import PLAIN_TOKEN, WS_CHARS, WS_CLASS
 from siftwork.operators import classifiers as C
 from siftwork.operators import language as L
 from siftwork.operators import tokens as K
@@ -108,8 +108,9 @@ def _single_mask(mask_sql, mask: str) -> str:
 
 def measured(source: str, text: str, name: str = "measured") -> list[str]:
     clitic = q(r"(?i)(n't|'(?:s|m|d|ll|re|ve))([^\p{L}\p{N}_]|$)")
+    token = rf"'(?i:s|m|d|ll|re|ve)\b|{PLAIN_TOKEN}"
     return [
-        f"tokenized AS (SELECT *, regexp_extract_all(regexp_replace({text}, {clitic}, ' \\1\\2', 'g'), {q(TOKEN)}) AS toks, "
+        f"tokenized AS (SELECT *, regexp_extract_all(regexp_replace({text}, {clitic}, ' \\1\\2', 'g'), {q(token)}) AS toks, "
         f"string_split({text}, chr(10)) AS lns FROM {source})",
         f"""{name} AS (SELECT *, len(toks) AS n_tokens,
           CASE WHEN len(toks) > 0 THEN list_sum(list_transform(toks, lambda x: len(x))) / len(toks) END AS mean_len,

@@ -46,10 +46,9 @@ def judge(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "tex
     return judged.select(key, *keep, reason.alias("reason"), "n_email", "n_phone", "n_ip")
 
 
-def rejected(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text") -> DataFrame:
+def rejected(docs: DataFrame, judged: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rejected documents with their ``rejection_reason``."""
-    reasons = judge(docs, models, key, text).where("reason is not null")
-    named = reasons.select(key, F.col("reason").alias("rejection_reason"))
+    named = judged.where("reason is not null").select(key, F.col("reason").alias("rejection_reason"))
     return docs.join(named.hint("shuffle_hash"), key)
 
 
@@ -63,13 +62,17 @@ def mask_kept(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def curate(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text") -> DataFrame:
+def curate(
+    docs: DataFrame, models: Models | None, key: str = "doc_id", text: str = "text", judged: DataFrame | None = None
+) -> DataFrame:
     """The kept documents, masked, with ``word_count`` and (if there is a ``url``) ``domain``.
 
     The verdicts are a narrow table; the text is shuffled at most once, to meet them, and not at all when Spark can
-    broadcast them. Masking runs on kept documents only.
+    broadcast them. Masking runs on kept documents only. Pass ``judged`` to share verdicts with the reports.
     """
-    kept = judge(docs, models, key, text).where("reason is null").select(key)
+    if judged is None:
+        judged = judge(docs, models, key, text)
+    kept = judged.where("reason is null").select(key)
     result = mask_kept(docs.join(kept.hint("shuffle_hash"), key, "left_semi"), text)
     if "url" in docs.columns:
         result = result.withColumn("domain", registered_domain(F.col("url")))

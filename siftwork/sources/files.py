@@ -32,17 +32,27 @@ def write_curated(df: DataFrame, path: str, by: str | None = None) -> None:
 
 
 def read_curated(spark: SparkSession, path: str, errors: str = "FAILFAST") -> DataFrame:
-    """Curated documents with ``file``. ``PERMISSIVE`` turns broken lines into rows with ``_corrupt_record``."""
+    """Curated documents with their ``LINE_ORDER``. ``PERMISSIVE`` turns broken lines into rows with ``_corrupt_record``."""
     schema = CURATED
     if errors == "PERMISSIVE":
         schema = P.StructType([*CURATED.fields, P.StructField("_corrupt_record", P.StringType())])
     reader = spark.read.schema(schema).option("mode", errors).option("recursiveFileLookup", "true")
-    return reader.json(path).withColumn("file", F.col("_metadata.file_path"))
+    return with_line_order(reader.json(path))
 
 
-def with_line_order(df: DataFrame, key: str = "ord") -> DataFrame:
-    """Adds the physical order inside the scan: grows with file and line, and is unique. Use right after a scan."""
-    return df.withColumns({"file": F.col("_metadata.file_path"), key: F.monotonically_increasing_id()})
+#: Columns that order the lines of a folder as they stand: by file, part of a file, line.
+LINE_ORDER = ["file", "block", "ord"]
+
+
+def with_line_order(df: DataFrame) -> DataFrame:
+    """Adds the columns of ``LINE_ORDER``; ``ord`` is unique. Use right after a scan."""
+    return df.withColumns(
+        {
+            "file": F.col("_metadata.file_path"),
+            "block": F.col("_metadata.file_block_start"),
+            "ord": F.monotonically_increasing_id(),
+        }
+    )
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

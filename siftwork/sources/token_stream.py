@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,18 +13,24 @@ def write_token_stream(tokenized: DataFrame, order: list[str], path: str) -> Dat
     """Write ``part-NNNNN.bin`` files that concatenate, in name order, to the ordered stream.
 
     Every task writes the part of its range to a temporary name and renames it when complete, so a retried or
-    speculative task cannot leave a half-written part. ``path`` must be reachable from all executors. Returns
-    ``(part, documents, tokens)``.
+    speculative task cannot leave a half-written part. ``path`` must be reachable from all executors and hold no
+    parts yet, or old ones could mix with new ones. Returns ``(part, documents, tokens)``; the parts are written by
+    the action on it.
     """
+    target, folder = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    present = target.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+    if any(f.base_name.startswith("part-") for f in present):
+        raise FileExistsError(f"{path} holds parts of a token stream already")
 
     def write(batches):
         import uuid
 
         import numpy as np
         import pandas as pd
-        from pyarrow import fs
+        from pyarrow import fs as pyarrow_fs
 
-        filesystem, base = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        from_uri = pyarrow_fs.FileSystem.from_uri
+        filesystem, base = from_uri(path) if "://" in path else (pyarrow_fs.LocalFileSystem(), path)
         part, documents, tokens, stream = None, 0, 0, None
         temporary = f"{base}/_writing-{uuid.uuid4().hex}"
         for batch in batches:

@@ -7,6 +7,7 @@ from pyspark.sql import types as P
 
 from siftwork.operators.reports import filter_report_by_source
 from siftwork.plans.curate import Models, curate, judge
+from siftwork.session import materialize
 
 DOCUMENTS = P.StructType(
     [
@@ -34,9 +35,9 @@ def curate_incrementally(
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        kept = curate(batch, models)
-        kept.write.mode("overwrite").json(f"{output_path}/documents/batch={batch_id}")
-        report = filter_report_by_source(judge(batch, models, keep=("source",)))
+        judged = materialize(judge(batch, models, keep=("source",)))
+        curate(batch, None, judged=judged).write.mode("overwrite").json(f"{output_path}/documents/batch={batch_id}")
+        report = filter_report_by_source(judged)
         report.coalesce(1).write.mode("overwrite").json(f"{output_path}/reports/batch={batch_id}")
 
     query = (

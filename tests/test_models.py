@@ -39,7 +39,7 @@ def test_curation(spark, models, corpus):
     assert sorted(kept) == [0, 6]
     assert kept[6]["text"].endswith("mail |||EMAIL_ADDRESS||| or |||PHONE_NUMBER|||") and kept[6]["domain"] == "example.com"
     assert kept[6]["word_count"] == len(kept[6]["text"].split())
-    refused = {r["doc_id"]: r["rejection_reason"] for r in P.rejected(corpus, models).collect()}
+    refused = {r["doc_id"]: r["rejection_reason"] for r in P.rejected(corpus, P.judge(corpus, models)).collect()}
     assert refused == {i: r for i, r in reasons.items() if r}
     again = P.judge(corpus.repartition(7), models)
     assert {r["doc_id"]: r["reason"] for r in again.collect()} == reasons

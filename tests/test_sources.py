@@ -80,7 +80,12 @@ def test_curated_json(spark, tmp_path):
     files.write_curated(spark.createDataFrame([row], files.CURATED).coalesce(1), path)
     [part] = [p for p in (tmp_path / "out").iterdir() if p.suffix == ".json"]
     assert "schöner" in part.read_text() and list(json.loads(part.read_text())) == files.CURATED.names
-    assert tuple(files.read_curated(spark, path).drop("file").first()) == row
+    assert tuple(files.read_curated(spark, path).drop(*files.LINE_ORDER).first()) == row
+    many = spark.range(500).select(F.lit("").alias("url"), F.format_string("%04d", "id").alias("text")).repartition(3).sortWithinPartitions("text")
+    many.write.json(str(tmp_path / "many"))
+    lines = [line for p in sorted((tmp_path / "many").glob("*.json")) for line in p.read_text().splitlines()]
+    read = files.read_curated(spark, str(tmp_path / "many")).orderBy(*files.LINE_ORDER).select("text").collect()
+    assert [r["text"] for r in read] == [json.loads(line)["text"] for line in lines]
     (tmp_path / "out" / "more.json").write_text('{"text": \n')
     broken = files.read_curated(spark, path, "PERMISSIVE").cache().where("_corrupt_record IS NOT NULL")
     assert broken.count() == 1
@@ -120,6 +125,8 @@ def test_token_stream(spark, tmp_path):
     stream = [t for i in sorted(rows) for t in rows[i]]
     parts = token_stream.write_token_stream(tokenized, ["doc_id"], str(tmp_path / "bin")).collect()
     assert sum(p["tokens"] for p in parts) == len(stream) and sum(p["documents"] for p in parts) == 40
+    with pytest.raises(FileExistsError):
+        token_stream.write_token_stream(tokenized, ["doc_id"], str(tmp_path / "bin"))
     read = sorted(token_stream.read_token_stream(spark, str(tmp_path / "bin")).collect(), key=lambda r: r["part"])
     assert [t for r in read for t in r["tokens"]] == stream
     lengths = tokenized.select("doc_id", F.size("tokens").alias("n_tokens"))
