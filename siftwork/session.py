@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # The call site of every column function is not needed; recording it costs more than building the plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Checkpoints of finished steps are deleted once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Texts can be long: keep Arrow batches small enough for a Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }

@@ -20,32 +20,34 @@ def _header(headers: Column, name: str) -> Column:
 def read_records(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """``(type, url, date, record_id, payload, file)`` of every record.
 
-    A payload is cut to its Content-Length. One that contains the separator would arrive in pieces: the first piece
-    is shorter than announced. That fails the job when ``strict``; :func:`read_records_exact` reads such files.
+    A payload is cut to its Content-Length. One that contains the separator arrives in pieces, the first of which is
+    shorter than announced; records of another format version are not separated, so more follows than announced.
+    Both fail the job when ``strict``; :func:`read_records_exact` reads such files.
     """
     raw = spark.read.option("lineSep", SEPARATOR).text(path).select(
-        F.regexp_replace("value", r"^WARC/1\.0\r\n", "").alias("_record"),
+        # the header ends at the first blank line; it is found in the bytes, without decoding the payload
+        F.substring_index("value", "\r\n\r\n", 1).alias("_head"),
         F.col("value").cast("binary").alias("_bytes"),
         F.col("_metadata.file_path").alias("file"),
     )
-    start = F.when(F.startswith(F.col("_bytes"), F.encode(F.lit("WARC/1.0\r\n"), "UTF-8")), 10).otherwise(0)
-    head = F.substring_index("_record", "\r\n\r\n", 1)
-    parsed = raw.select("_bytes", "file", head.alias("_head"), start.alias("_start"))
-    fields = parsed.select(
+    length = "try_cast(nullif(regexp_extract(_head, r'(?im)^Content-Length:[ \t]*([0-9]+)', 1), '') AS int) AS _length"
+    fields = raw.select(
         _header(F.col("_head"), "WARC-Type").alias("type"),
         _header(F.col("_head"), "WARC-Target-URI").alias("url"),
         _header(F.col("_head"), "WARC-Date").alias("date"),
         _header(F.col("_head"), "WARC-Record-ID").alias("record_id"),
-        F.expr("try_cast(nullif(trim(regexp_extract(_head, '(?im)^Content-Length:[ \\\\t]*([0-9]+)', 1)), '') as int)").alias("_length"),
-        (F.col("_start") + F.octet_length("_head") + 4).alias("_skip"),
+        F.expr(length),
+        (F.octet_length("_head") + 4).alias("_skip"),
         "_bytes",
         "file",
     )
     payload = F.substring(F.col("_bytes"), F.col("_skip") + 1, F.col("_length"))
-    records = fields.where("type <> '' or length(_bytes) > 0").withColumn("payload", payload)
+    records = fields.where("length(_bytes) > 0").withColumn("payload", payload)
     if strict:
-        broken = F.col("_length").isNull() | (F.length("payload") < F.col("_length"))
-        message = F.concat(F.lit("record split by a separator in its payload in "), F.col("file"))
+        rest = F.length("_bytes") - F.col("_skip") - F.col("_length")
+        # the last record of a file keeps its final blank lines
+        broken = F.col("_length").isNull() | ~rest.between(0, 4)
+        message = F.concat(F.lit("record split by a separator in its payload, or of another version, in "), F.col("file"))
         records = records.withColumn("payload", F.when(broken, F.raise_error(message).cast("binary")).otherwise(F.col("payload")))
     return records.select("type", "url", "date", "record_id", "payload", "file")
 

@@ -42,8 +42,14 @@ def test_separator_in_payload(spark, tmp_path):
     inner = record("conversion", b"inner")
     (tmp_path / "x.wet").write_bytes(record("conversion", b"text\r\n\r\n" + inner) + record("conversion", b"last"))
     with pytest.raises(Exception, match="record split by a separator"):
-        warc.read_wet(spark, str(tmp_path)).collect()
-    exact = warc.read_wet(spark, str(tmp_path), exact=True)
+        warc.read_wet(spark, str(tmp_path / "x.wet")).collect()
+    newer = tmp_path / "newer"
+    newer.mkdir()
+    (newer / "y.wet").write_bytes(b"".join(record("conversion", t).replace(b"WARC/1.0", b"WARC/1.1") for t in (b"one", b"two")))
+    with pytest.raises(Exception, match="of another version"):
+        warc.read_wet(spark, str(newer)).collect()
+    assert [r["text"] for r in warc.read_wet(spark, str(newer), exact=True).collect()] == ["one", "two"]
+    exact = warc.read_wet(spark, str(tmp_path / "x.wet"), exact=True)
     assert [r["text"] for r in exact.collect()] == ["text\r\n\r\n" + inner.decode(), "last"]
 
 
