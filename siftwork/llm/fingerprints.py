@@ -51,12 +51,16 @@ def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
+def _hashed(seed: int | str):
+    return lambda piece: F.xxhash64(F.lit(seed), piece)
+
+
 def with_fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
     """``df`` with the lanes of its texts as ``array<bigint>``; rows stay where they are."""
     found = _held(df, "_pieces", pieces(F.col(text)))
     lanes = [F.size("_pieces").cast("long")]
     for seed in range(DENSE // 2):
-        hashed = F.transform("_pieces", lambda p, s=seed: F.xxhash64(F.lit(s), p))
+        hashed = F.transform("_pieces", _hashed(seed))
         lanes += [
             _total(F.transform(hashed, lambda h: h.bitwiseAND(F.lit(WIDE)))).bitwiseAND(F.lit(WIDE)),
             _total(F.transform(hashed, lambda h: F.shiftrightunsigned(h, 32))).bitwiseAND(F.lit(WIDE)),
@@ -64,7 +68,7 @@ def with_fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint
     # eight random bits to a level: the number of leading zero bits
     level = F.array(*[F.lit((LEVELS - x.bit_length() if x else LEVELS - 1) * SLOTS) for x in range(1 << LEVELS)])
     placed = F.transform(
-        F.transform("_pieces", lambda p: F.xxhash64(F.lit("slot"), p)),
+        F.transform("_pieces", _hashed("slot")),
         lambda h: F.shiftleft(
             F.get(level, h.bitwiseAND(F.lit((1 << LEVELS) - 1)).cast("int"))
             + F.shiftright(h, 8).bitwiseAND(F.lit(SLOTS - 1)).cast("int"), 16,

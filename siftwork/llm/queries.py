@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import fingerprints
+from siftwork.llm import fingerprints, secret_scan
 from siftwork.llm.tables import read_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,8 +32,19 @@ def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of secrets in every text."""
+    found = secret_scan.with_spans(read_texts(spark, sf))
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secret_scan.listed("assign", "access", "hex"), 256).alias("base_sha256"),
+        secret_scan.listed("assign", "access", "hex", "entropy").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_fingerprints": op2_fingerprints,
+    "op8_secrets": op8_secrets,
 }
 
 ORACLE: dict[str, str] = {}
