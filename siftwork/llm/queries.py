@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import fingerprints, secret_scan
+from siftwork.llm import decontamination, fingerprints, secret_scan
 from siftwork.llm.tables import read_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,15 @@ def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Which words of every document belong to a window of a benchmark item."""
+    found = decontamination.report(read_texts(spark, sf), read_texts(spark, sf, "benchmark", "item_id"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
     """Spans of secrets in every text."""
     found = secret_scan.with_spans(read_texts(spark, sf))
@@ -44,6 +53,7 @@ def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_fingerprints": op2_fingerprints,
+    "op6_decontamination": op6_decontamination,
     "op8_secrets": op8_secrets,
 }
 

@@ -34,3 +34,12 @@ def saved(df: DataFrame, name: str = "table", codec: str = "zstd") -> DataFrame:
 def read_texts(spark: SparkSession, folder: str, table: str = "documents", key: str = "doc_id") -> DataFrame:
     """``(key, text)`` of a table, a null text being the empty one."""
     return spark.read.parquet(f"{folder}/{table}.parquet").select(key, F.coalesce("text", F.lit("")).alias("text"))
+
+
+#: Rows of a stored side table that may be sent to every executor (a few dozen bytes each).
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (stored, so that counting reads no rows) with a broadcast hint if it is small enough, else as it is."""
+    return F.broadcast(df) if df.count() <= most else df
