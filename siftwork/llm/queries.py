@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import decontamination, fingerprints, secret_scan
+from siftwork.llm import chat, decontamination, fingerprints, secret_scan
 from siftwork.llm.tables import read_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,16 @@ def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_chat(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations and one whose texts hold control strings, formatted and read back."""
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
+    )
+    hard = r"\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], turns.schema)
+    return chat.read_back(chat.format_turns(turns.unionByName(probe)))
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Which words of every document belong to a window of a benchmark item."""
     found = decontamination.report(read_texts(spark, sf), read_texts(spark, sf, "benchmark", "item_id"))
@@ -53,6 +63,7 @@ def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_fingerprints": op2_fingerprints,
+    "op4_chat": op4_chat,
     "op6_decontamination": op6_decontamination,
     "op8_secrets": op8_secrets,
 }
