@@ -144,3 +144,38 @@ class WordReader:
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> Words:
         return Words(data, offsets, self.powers, self.classes, self.seeds)
+
+
+def with_text_columns(df, text: str, make, fields: str):
+    """``df`` with columns computed from its texts by numpy.
+
+    ``make()`` is called once per task and returns a function of ``(bytes, offsets)`` of a view, which returns one array
+    per field of ``fields``. All other columns pass through; a null text counts as the empty one.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    added = StructType.fromDDL(fields)
+    clash = {f.name for f in added} & set(df.columns)
+    if clash:
+        raise ValueError(f"columns are there already: {sorted(clash)}")
+    schema = StructType(df.schema.fields + added.fields)
+    types = [f.type for f in to_arrow_schema(added)]
+    names = schema.names
+
+    def run(batches):
+        compute = make()
+        for batch in batches:
+            where = batch.schema.get_field_index(text)
+            for first, end, data, offsets in views(batch.column(where)):
+                part = batch.slice(first, end - first)
+                found = [pa.array(a) if not isinstance(a, pa.Array) else a for a in compute(data, offsets)]
+                columns = [*part.columns, *[a.cast(t) for a, t in zip(found, types)]]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return df.mapInArrow(run, schema)
+
+
+def list_array(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """An Arrow list per document from its values in order and the places where they start."""
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import chat, decontamination, fingerprints, secret_scan
+from siftwork.llm import chat, decontamination, fingerprints, quality, secret_scan, toxicity
 from siftwork.llm.tables import read_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,20 @@ def op4_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(probe)))
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality scores of every text; a third of the labels is held out."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    learned = labels.where(~quality.held_out(F.col("doc_id"), 3, 1))
+    return _predicted(quality.classify(read_texts(spark, sf), learned), 3, 1)
+
+
+def _predicted(scored: DataFrame, parts: int, part: int) -> DataFrame:
+    return scored.select(
+        "doc_id", quality.held_out(F.col("doc_id"), parts, part).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Which words of every document belong to a window of a benchmark item."""
     found = decontamination.report(read_texts(spark, sf), read_texts(spark, sf, "benchmark", "item_id"))
@@ -51,6 +65,13 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity scores of every text; a fifth of the labels is held out."""
+    docs = read_texts(spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where(~quality.held_out(F.col("doc_id"), 5, 0))
+    return _predicted(toxicity.with_score(docs, toxicity.train(docs, labels)), 5, 0)
+
+
 def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
     """Spans of secrets in every text."""
     found = secret_scan.with_spans(read_texts(spark, sf))
@@ -64,7 +85,9 @@ def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_fingerprints": op2_fingerprints,
     "op4_chat": op4_chat,
+    "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
+    "op7_toxicity": op7_toxicity,
     "op8_secrets": op8_secrets,
 }
 
