@@ -65,6 +65,10 @@ def byte_classes() -> np.ndarray:
     return table
 
 
+#: Rows of a view, so that a row fits into 16 bits.
+VIEW_ROWS = 1 << 16
+
+
 def views(texts: pa.Array, most: int = VIEW_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` of runs of rows holding at most ``most`` bytes or one row."""
     if isinstance(texts, pa.ChunkedArray):
@@ -78,6 +82,7 @@ def views(texts: pa.Array, most: int = VIEW_BYTES) -> Iterator[tuple[int, int, n
     first = 0
     while first < len(texts):
         end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
+        end = min(end, first + VIEW_ROWS, len(texts))
         yield first, end, data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first]
         first = end
 
@@ -102,7 +107,16 @@ class Words:
         up, down = powers.to(len(data) + 1)
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(seeds[low] * up[:-1], out=total[1:])
-        self.hashes = mix((total[self.ends] - total[self.starts]) * down[self.starts])
+        self._total, self._down = total, down
+        self.hashes = self._hash(self.starts, self.ends)
+
+    def _hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self._total[ends] - self._total[starts]) * self._down[starts])
+
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words of more than ``n`` bytes, and the hashes of their first ``n`` bytes."""
+        longer = np.flatnonzero(self.ends - self.starts > n)
+        return longer, self._hash(self.starts[longer], self.starts[longer] + n)
 
     def shingles(self, n: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of ``n`` words inside a document, and the first of each document and the end.
@@ -146,6 +160,16 @@ class WordReader:
         return Words(data, offsets, self.powers, self.classes, self.seeds)
 
 
+def distinct_grams(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """48-bit ids of the distinct values of each document in ascending order, and where each document's start."""
+    n = len(starts) - 1
+    owner = np.repeat(np.arange(n, dtype=np.uint64), np.diff(starts))
+    keys = np.sort((owner << np.uint64(48)) | (hashes >> np.uint64(16)))
+    if len(keys):
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+    return keys & np.uint64((1 << 48) - 1), np.searchsorted(keys >> np.uint64(48), np.arange(n + 1, dtype=np.uint64))
+
+
 def with_text_columns(df, text: str, make, fields: str):
     """``df`` with columns computed from its texts by numpy.
 

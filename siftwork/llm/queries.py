@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import chat, decontamination, fingerprints, quality, secret_scan, toxicity
+from siftwork.llm import chat, decontamination, fingerprints, ngram_join, quality, secret_scan, toxicity
 from siftwork.llm.tables import read_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,11 @@ def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Class of every document by similar word 5-gram sets, and its verified links."""
+    return ngram_join.classes(read_texts(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "op2_fingerprints": op2_fingerprints,
     "op4_chat": op4_chat,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_secrets": op8_secrets,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE: dict[str, str] = {}
