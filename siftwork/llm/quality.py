@@ -114,7 +114,7 @@ def train(features: DataFrame, labels: DataFrame, key: str, label: str, how: Boo
     found = features.join(F.broadcast(sample), key).select(F.col("features"), F.col(label).cast("double").alias("y"))
     # rows arrive in any order; sorted, the same labels give the same trees
     table = found.toArrow()
-    x = np.array(table["features"].to_pylist(), np.float32).reshape(table.num_rows, len(NAMES))
+    x = table["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, len(NAMES))
     y = table["y"].to_numpy()
     order = np.lexsort([*x.T, y])
     return fit(x[order], y[order], how)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import chat, decontamination, fingerprints, ngram_join, quality, secret_scan, toxicity
+from siftwork.llm import chat, decontamination, fingerprints, mixing, ngram_join, quality, secret_scan, toxicity
 from siftwork.llm.tables import read_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,23 @@ def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Shares of all tokens that the mix of op3 aims at: good text by language, and text of low quality.
+MIX = {"en": 0.5, "de": 0.18, "fr": 0.18, "es": 0.12, "poor": 0.02}
+
+
+def label_domains(spark: SparkSession, sf: str) -> DataFrame:
+    """``(doc_id, domain)`` of the labelled documents: ``poor``, or else the language."""
+    languages = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    domain = F.when(F.col("quality") == 0, "poor").otherwise(F.col("lang"))
+    return labels.join(languages, "doc_id").select("doc_id", domain.alias("domain"))
+
+
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Rates of all documents that bring the expected domain tokens to ``MIX``."""
+    return mixing.mixed(read_texts(spark, sf), label_domains(spark, sf), MIX).drop("text")
+
+
 def op4_chat(spark: SparkSession, sf: str) -> DataFrame:
     """All conversations and one whose texts hold control strings, formatted and read back."""
     turns = spark.read.parquet(f"{sf}/conversations.parquet").select(
@@ -89,6 +106,7 @@ def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_fingerprints": op2_fingerprints,
+    "op3_mixing": op3_mixing,
     "op4_chat": op4_chat,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,

@@ -18,6 +18,8 @@ NAMES = (
      "line_words", "lines_ended", "bytes_per_word", "short_words", "long_words"]
     + [f"share_{i}" for i in range(len(CLASSES) + 2)]
 )
+#: Further columns of the rows with letters.
+LETTERS = 26 + 64
 
 
 def _per_document(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -46,11 +48,14 @@ class Statistics:
             self.classes[[ord(c) for c in members]] = i + 1
         self.classes[0x80:] = len(CLASSES) + 1
 
-    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def __call__(self, data: np.ndarray, offsets: np.ndarray, letters: bool = False) -> np.ndarray:
+        """Rows in the order of ``NAMES``; with ``letters`` also the shares of each letter and of each second byte of
+        the letters beyond ASCII."""
         n, k = len(offsets) - 1, len(CLASSES) + 2
         words = self.read(data, offsets)
         owner = np.repeat(np.arange(n), np.diff(offsets))
-        shares = np.bincount(owner * k + self.classes[data], minlength=n * k).reshape(n, k).astype(np.float64)
+        counts = np.bincount(owner * 256 + data, minlength=n * 256).reshape(n, 256).astype(np.float64)
+        shares = counts @ np.eye(k)[self.classes]
         size, count = np.maximum(np.diff(offsets), 1), np.diff(words.of)
         some = np.maximum(count, 1)
         length = (words.ends - words.starts).astype(np.float64)
@@ -69,7 +74,11 @@ class Statistics:
             _per_document(ended, offsets) / lines, size / some, _per_document(length <= 3, words.of) / some,
             _per_document(length >= 12, words.of) / some,
         ]
-        return np.column_stack([*columns, shares / size[:, None]]).astype(np.float32)
+        rows = [*columns, shares / size[:, None]]
+        if letters:
+            rows.append((counts[:, 65:91] + counts[:, 97:123]) / size[:, None])
+            rows.append(counts[:, 0x80:0xC0] / size[:, None])
+        return np.column_stack(rows).astype(np.float32)
 
 
 def with_statistics(df: DataFrame, text: str = "text", name: str = "features") -> DataFrame:
