@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import chat, decontamination, fingerprints, mixing, ngram_join, quality, secret_scan, toxicity
+from siftwork.llm import chat, decontamination, fingerprints, mixing, ngram_join, quality, secret_scan, suffix_index, toxicity
 from siftwork.llm.tables import read_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,11 @@ def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every text without the byte strings that repeat."""
+    return suffix_index.removed_digests(read_texts(spark, sf))
+
+
 def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     """Class of every document by similar word 5-gram sets, and its verified links."""
     return ngram_join.classes(read_texts(spark, sf))
@@ -112,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_secrets": op8_secrets,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ngram_join": op10_ngram_join,
 }
 
