@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm import chat, decontamination, fingerprints, mixing, ngram_join, quality, secret_scan, suffix_index, toxicity
+from siftwork.llm import chat, decontamination, fingerprints, mixing, ngram_join, passages, quality, secret_scan, suffix_index, toxicity
 from siftwork.llm.tables import read_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Class of every document by passages of 50 words and more that it shares with others."""
+    return passages.classes(read_texts(spark, sf))
+
+
 def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they are."""
     docs = fingerprints.with_fingerprint(read_texts(spark, sf), "text", "lanes")
@@ -110,6 +115,7 @@ def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_passages": op1_passages,
     "op2_fingerprints": op2_fingerprints,
     "op3_mixing": op3_mixing,
     "op4_chat": op4_chat,
