@@ -174,15 +174,15 @@ def with_text_columns(df, text: str, make, fields: str):
     """``df`` with columns computed from its texts by numpy.
 
     ``make()`` is called once per task and returns a function of ``(bytes, offsets)`` of a view, which returns one array
-    per field of ``fields``. All other columns pass through; a null text counts as the empty one.
+    per field of ``fields``. All other columns pass through, and columns of the same names are replaced; a null text counts
+    as the empty one.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     added = StructType.fromDDL(fields)
-    clash = {f.name for f in added} & set(df.columns)
-    if clash:
-        raise ValueError(f"columns are there already: {sorted(clash)}")
+    replaced = {f.name.lower() for f in added}
+    df = df.select(*[c for c in df.columns if c.lower() not in replaced])
     schema = StructType(df.schema.fields + added.fields)
     types = [f.type for f in to_arrow_schema(added)]
     names = schema.names

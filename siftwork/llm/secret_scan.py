@@ -202,12 +202,13 @@ def entropy_spans(text: Column, rule: EntropyRule) -> Column:
 
 
 def with_spans(df: DataFrame, text: str = "text", rule: EntropyRule = EntropyRule()) -> DataFrame:
-    """``df`` with a column of spans for each kind: ``assign``, ``access``, ``hex``, ``entropy``."""
+    """``df`` with a column of spans for each kind: ``assign``, ``access``, ``hex``, ``entropy``.
+
+    Columns of these names are replaced.
+    """
     whole = F.coalesce(F.col(text), F.lit(""))
-    return df.select(
-        "*", kind_spans(whole, ASSIGN_KIND).alias("assign"), kind_spans(whole, ACCESS_KIND).alias("access"),
-        kind_spans(whole, HEX_KIND).alias("hex"), entropy_spans(whole, rule).alias("entropy"),
-    )
+    found = {k.name: kind_spans(whole, k) for k in (ASSIGN_KIND, ACCESS_KIND, HEX_KIND)}
+    return df.withColumns({**found, "entropy": entropy_spans(whole, rule)})
 
 
 def listed(*kinds: str) -> Column:
