@@ -146,7 +146,7 @@ def trigram_rows(name: str, source: str, text: str, keep: str) -> list[str]:
     ]
 
 
-def model_ctes(name: str, rows: str, heads: tuple[C.Head, ...], max_features: int, where: str = "TRUE") -> list[str]:
+def model_ctes(name: str, rows: str, heads: tuple[C.Head, ...], where: str = "TRUE") -> list[str]:
     """Counts per class, vocabulary and fixed-point log-probabilities."""
     pairs = [(h, i, c) for h in heads for i, c in enumerate(h.classes)]
     counts = ", ".join(f"count(*) FILTER ({h.label} = {q(c)}) AS {h.count(i)}" for h, i, c in pairs)
@@ -160,8 +160,7 @@ def model_ctes(name: str, rows: str, heads: tuple[C.Head, ...], max_features: in
         )
     return [
         f"{name}_c AS (SELECT feature, {counts}, count(*) AS total FROM {rows} WHERE {where} GROUP BY feature)",
-        f"{name}_v AS (SELECT * FROM {name}_c WHERE total >= 2 OR feature = '' "
-        f"ORDER BY feature <> '', total DESC, feature LIMIT {max_features})",
+        f"{name}_v AS (SELECT * FROM {name}_c WHERE total >= 2 OR feature = '')",
         f"{name}_t AS (SELECT {totals}, count(*) FILTER (feature <> '') AS v FROM {name}_v)",
         f"{name} AS (SELECT {name}_v.*, {', '.join(weights)} FROM {name}_v, {name}_t)",
     ]
@@ -191,7 +190,7 @@ LABELLED = [
 
 def trained(heads: tuple[C.Head, ...]) -> list[str]:
     keep = ", ".join(h.label for h in heads)
-    return [*LABELLED, *word_rows("train_rows", "labelled", "text", keep), *model_ctes("model", "train_rows", heads, C.MAX_FEATURES)]
+    return [*LABELLED, *word_rows("train_rows", "labelled", "text", keep), *model_ctes("model", "train_rows", heads)]
 
 
 def judged_ctes(where: str = "TRUE") -> list[str]:
@@ -232,7 +231,7 @@ LENGTH = "('empty', 'too_short', 'too_long')"
 LANG = L.head()
 LANG_MODEL = [
     *trigram_rows("lang_rows", "documents", "text", "lang"),
-    *model_ctes("lang_model", "lang_rows", (LANG,), L.MAX_TRIGRAMS, f"lang IN {L.LATIN_LANGUAGES}"),
+    *model_ctes("lang_model", "lang_rows", (LANG,), f"lang IN {L.LATIN_LANGUAGES}"),
 ]
 
 
@@ -336,7 +335,7 @@ EXAMPLES = [
     *LANG_MODEL,
     *lang_of("flat_docs", "flat"),
     *word_rows("train_rows", "labelled", "text", "toxic"),
-    *model_ctes("model", "train_rows", (C.TOXIC,), C.MAX_FEATURES),
+    *model_ctes("model", "train_rows", (C.TOXIC,)),
     *word_rows("doc_rows", "flat_docs", "flat", "doc_id"),
     *score_ctes("harm", "doc_rows", "model", (C.TOXIC,)),
     f"""examples AS (SELECT doc_id, m.label, CASE WHEN flat = '' THEN 'empty' WHEN NOT (l.label = 'en' AND l.score >= 0.7) THEN 'non_english'
@@ -369,8 +368,11 @@ PIECES = [
 TOKENS = [
     *PIECES,
     f"vocab_top AS (SELECT token, count(*) AS n FROM piece_rows GROUP BY token ORDER BY n DESC, token LIMIT {K.MAX_VOCABULARY})",
-    "vocab AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) - 1 AS id FROM vocab_top)",
-    f"ids AS (SELECT doc_id, list(coalesce(id, {K.UNKNOWN_ID}) ORDER BY pos) AS l FROM piece_rows LEFT JOIN vocab USING (token) GROUP BY doc_id)",
+    "vocab AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 255 AS id FROM vocab_top)",
+    """spelled AS (SELECT token, coalesce([id], list_transform(range(1, strlen(token) * 2, 2),
+       lambda i: CAST('0x' || substr(hex(encode(token)), i, 2) AS BIGINT))) AS ids
+       FROM (SELECT DISTINCT token FROM piece_rows) LEFT JOIN vocab USING (token))""",
+    "ids AS (SELECT doc_id, flatten(list(ids ORDER BY pos)) AS l FROM piece_rows JOIN spelled USING (token) GROUP BY doc_id)",
     f"tokens AS (SELECT doc_id, list_append(coalesce(l, []), {K.EOS_ID}) AS tokens FROM documents LEFT JOIN ids USING (doc_id))",
 ]
 
@@ -508,7 +510,7 @@ ORACLE: dict[str, str] = {
             "set_train AS (SELECT * FROM set_docs WHERE split = 'train')",
             "set_valid AS (SELECT * FROM set_docs WHERE split = 'valid')",
             *word_rows("set_rows", "set_train", "flat", "quality"),
-            *model_ctes("set_model", "set_rows", (C.QUALITY,), C.MAX_FEATURES),
+            *model_ctes("set_model", "set_rows", (C.QUALITY,)),
             *word_rows("valid_rows", "set_valid", "flat", "doc_id"),
             *score_ctes("set_scored", "valid_rows", "set_model", (C.QUALITY,)),
         ],
@@ -528,12 +530,13 @@ ORACLE: dict[str, str] = {
         "SELECT doc_id, rank, toxic_label AS verdict, toxic_score AS score FROM sampled JOIN scored USING (doc_id)",
     ),
     "tokenize_docs": with_(TOKENS, "SELECT doc_id, len(tokens) AS n_tokens, md5(array_to_string(tokens, ' ')) AS token_hash FROM tokens"),
+    "detokenize_docs": "SELECT doc_id, text FROM documents",
     "token_offsets": with_(
-        PIECES, "SELECT doc_id, CAST(coalesce(sum(len(p) + 1) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset FROM pieces"
+        TOKENS, "SELECT doc_id, CAST(coalesce(sum(len(tokens)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset FROM tokens"
     ),
     "token_report": with_(
-        PIECES,
-        f"SELECT count(*) AS documents, sum(len(p) + 1)::BIGINT AS tokens, (2 * sum(len(p) + 1))::BIGINT AS output_bytes, 'uint16' AS dtype, {K.EOS_ID} AS eos_token_id FROM pieces",
+        TOKENS,
+        f"SELECT count(*) AS documents, sum(len(tokens))::BIGINT AS tokens, (2 * sum(len(tokens)))::BIGINT AS output_bytes, 'uint16' AS dtype, {K.EOS_ID} AS eos_token_id FROM tokens",
     ),
     "pack_sequences": with_(
         [

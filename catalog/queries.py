@@ -376,8 +376,14 @@ def tokenize_docs(spark, sf):
     )
 
 
+def detokenize_docs(spark, sf):
+    docs = documents(spark, sf)
+    vocabulary = materialize(K.build_vocabulary(docs))
+    return K.detokenize(K.tokenize(docs, vocabulary), vocabulary)
+
+
 def token_offsets(spark, sf):
-    lengths = documents(spark, sf).select("doc_id", (F.size(K.pretokens(F.col("text"))) + 1).alias("n_tokens"))
+    lengths = _tokenized(spark, sf).select("doc_id", F.size("tokens").alias("n_tokens"))
     return K.token_offsets(lengths, ["doc_id"]).select("doc_id", "offset")
 
 
@@ -399,7 +405,7 @@ QUERIES: dict[str, Query] = {
         valid_urls, url_extract, url_sample, manifest_chunks, lang_id, english_filter, english_text_share,
         langid_confusion, threshold_curve, langid_review_sample, train_quality_nb, confident_clean, quality_eval,
         train_quality_lr, build_quality_set, build_stats, balanced_set, train_valid_split, labelled_lines,
-        sample_kept, sample_rejected, quality_review_sample, harm_review_sample, tokenize_docs, token_offsets,
+        sample_kept, sample_rejected, quality_review_sample, harm_review_sample, tokenize_docs, detokenize_docs, token_offsets,
         token_report, pack_sequences,
     )
 } | {

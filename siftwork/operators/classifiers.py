@@ -4,8 +4,8 @@ A model is a table with one row per feature and one column of log-probabilities
 grouped count over exploded features; applying it is an explode, a join with the model and a grouped sum. Weights are
 fixed-point integers, so sums do not depend on the order of rows and results are the same for any partitioning.
 
-The vocabulary is cut to the ``max_features`` most frequent features. That bound, a parameter of the model, is what
-makes it safe to broadcast.
+Every feature that occurs ``min_count`` times belongs to the model. A model of up to a million features is broadcast to the
+texts; a larger one is joined by feature, with frequent features salted.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.functions import text as T
+from siftwork.operators.skew import lookup_join
+from siftwork.session import materialize
 
 #: Fixed-point unit of log-probabilities.
 UNIT = 1_000_000
-MAX_FEATURES = 65_536
 #: Present once in every document: carries the class priors.
 BIAS = ""
 
@@ -90,29 +91,25 @@ def train(
     features: FeatureSet,
     text: str = "text",
     min_count: int = 2,
-    max_features: int = MAX_FEATURES,
 ) -> DataFrame:
-    """Multinomial naive Bayes for all heads in one pass: ``feature``, counts and a weight column per class.
+    """Multinomial naive Bayes for all heads in one pass: ``feature``, counts and a weight column per class, stored.
 
     The bias row holds the log priors; the others log((n + 1) / (N + V)) with N and V taken over the vocabulary.
     """
     counts = feature_counts(df, heads, features, text)
-    vocabulary = (
-        counts.where((F.col("total") >= min_count) | (F.col("feature") == BIAS))
-        .orderBy(F.col("feature") != BIAS, F.desc("total"), "feature")
-        .limit(max_features)
-    )
-    # OVER (): at most max_features rows, already in one partition after the top-k
+    vocabulary = materialize(counts.where((F.col("total") >= min_count) | (F.col("feature") == BIAS)))
+    pairs = [(h, i) for h in heads for i in range(len(h.classes))]
+    words = F.col("feature") != BIAS
+    sums = vocabulary.agg(
+        F.count_if(words).alias("v"), *[F.sum(F.when(words, F.col(h.count(i))).otherwise(0)).alias(h.count(i)) for h, i in pairs]
+    ).first()
     weights = []
-    for h in heads:
-        documents = " + ".join(h.count(i) for i in range(len(h.classes)))
-        for i in range(len(h.classes)):
-            n = h.count(i)
-            class_total = "sum(if(feature <> '', {0}, 0)) OVER ()".format(n)
-            weights.append(
-                f"""cast(round({UNIT} * if(feature = '{BIAS}', ln(({n} + 1) / ({documents} + {len(h.classes)})),
-                    ln(({n} + 1) / ({class_total} + count_if(feature <> '') OVER ())))) AS bigint) AS {h.weight(i)}"""
-            )
+    for h, i in pairs:
+        n, documents = h.count(i), " + ".join(h.count(j) for j in range(len(h.classes)))
+        weights.append(
+            f"""cast(round({UNIT} * if(feature = '{BIAS}', ln(({n} + 1) / ({documents} + {len(h.classes)})),
+                ln(({n} + 1) / {(sums[n] or 0) + sums["v"]}L))) AS bigint) AS {h.weight(i)}"""
+        )
     return vocabulary.selectExpr("*", *weights)
 
 
@@ -128,9 +125,8 @@ def score_sums(
     """Sums of weights per document. ``keep`` (the key and small columns derived from the row) rides along as
     grouping key, so nothing has to be joined back; only these sums leave the map tasks."""
     wanted = [h.weight(i) for h in heads for i in range(len(h.classes))]
-    known = features.explode(df, text, *keep, when=when).join(
-        F.broadcast(model.select("feature", *wanted)), "feature"
-    )
+    found = features.explode(df, text, *keep, when=when)
+    known = lookup_join(found, model.select("feature", *wanted), ["feature"], F.col(keep[0]))
     return known.groupBy(*keep).agg(*[F.expr(f"sum({w}) AS {w}") for w in wanted], F.count(F.lit(1)).alias("_n"))
 
 

@@ -10,12 +10,16 @@ from siftwork.functions.text import normalize_exact
 from siftwork.operators.skew import salted_join
 
 
-def _lines(text: str):
-    """Lines with their terminator; a final empty piece after the last newline is not a line."""
-    pieces = F.split(F.col(text), "\n")
-    last = F.size(pieces) - 1
-    with_ends = F.transform(pieces, lambda x, i: F.when(i < last, F.concat(x, F.lit("\n"))).otherwise(x))
-    return F.filter(with_ends, lambda x: x != "")
+def _with_lines(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with ``_lines``: lines with their terminator; a final empty piece after the last newline is not a line.
+
+    The pieces pass through a generator of one row, so the lambda reads them instead of splitting the text for every line.
+    """
+    split = df.withColumn("_pieces", F.explode(F.array(F.split(F.col(text), "\n"))))
+    with_ends = F.transform(
+        "_pieces", lambda x, i: F.when(i < F.size("_pieces") - 1, F.concat(x, F.lit("\n"))).otherwise(x)
+    )
+    return split.withColumn("_lines", F.explode(F.array(F.filter(with_ends, lambda x: x != "")))).drop("_pieces")
 
 
 def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -26,7 +30,7 @@ def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text")
     moves once, to meet the positions that must go. A line that makes up much of the corpus (a blank line, a menu
     entry) is counted by partial aggregation and looked up with salt.
     """
-    with_lines = df.where(F.col(text).isNotNull()).withColumn("_lines", _lines(text))
+    with_lines = _with_lines(df.where(F.col(text).isNotNull()), text)
     prints = with_lines.select(key, F.posexplode("_lines").alias("_pos", "_line")).select(
         key, "_pos", *[c.alias(f"_h{i}") for i, c in enumerate(fingerprint(F.col("_line")))]
     )
@@ -36,11 +40,11 @@ def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text")
     )
     # one entry per line of the document at most
     positions = doomed.groupBy(key).agg(F.collect_set("_pos").alias("_gone"))
-    kept = F.filter(F.col("_lines"), lambda x, i: ~F.array_contains(F.col("_gone"), i))
-    joined = df.withColumn("_lines", _lines(text)).join(positions.hint("shuffle_hash"), key, "left")
-    return joined.withColumn(
-        text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, ""))
-    ).drop("_lines", "_gone")
+    joined = _with_lines(df, text).join(positions.hint("shuffle_hash"), key, "left")
+    # by hashing, so time grows with the lines and not with lines times removed lines
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    kept = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "")
+    return joined.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept)).drop("_lines", "_gone")
 
 
 def first_of_each_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from siftwork.operators import classifiers as C
 
-#: Languages told apart by trigrams, and the features kept for them.
+#: Languages told apart by trigrams.
 LATIN_LANGUAGES = ("de", "en", "es", "fr")
-MAX_TRIGRAMS = 20_000
 MIN_SCORE = 0.7
 #: Scripts that name a language on their own.
 SCRIPTS = (("ja", r"[\p{IsHiragana}\p{IsKatakana}]"), ("ko", r"\p{IsHangul}"), ("ru", r"\p{IsCyrillic}"),
@@ -23,7 +22,7 @@ def head(languages: tuple[str, ...] = LATIN_LANGUAGES) -> C.Head:
 
 def train_languages(df: DataFrame, lang: str = "lang", text: str = "text", languages=LATIN_LANGUAGES) -> DataFrame:
     labelled = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(F.col("lang").isin(*languages))
-    return C.train(labelled, (head(languages),), C.TRIGRAMS, max_features=MAX_TRIGRAMS)
+    return C.train(labelled, (head(languages),), C.TRIGRAMS)
 
 
 def _script_share(text: Column) -> tuple[Column, Column]:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 #: Rows of one key a single task should meet at most.
 ROWS_PER_SALT = 100_000
 #: Hot keys that are salted. By counting, every other key holds at most 1/HOT_KEYS of all rows.
-HOT_KEYS = 10_000
+HOT_KEYS = 1_000_000
+#: Rows of a stored table that may be sent to every executor.
+BROADCAST_ROWS = 1_000_000
 
 
 def hot_keys(counts: DataFrame, keys: list[str], count: str) -> DataFrame:
@@ -53,3 +55,10 @@ def salted_join(
         .drop("_salts")
     )
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], salt_on: Column, how: str = "inner") -> DataFrame:
+    """Join ``rows`` with a stored ``table`` of unique keys: by broadcast if the table is small, else salted by key."""
+    if table.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), keys, how)
+    return salted_join(rows, table, keys, salt_on, how)

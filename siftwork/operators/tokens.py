@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from siftwork.functions.text import WS_CLASS
 from siftwork.session import materialize
 
-#: Token ids must fit 16 bits: vocabulary, then one id for unknown pre-tokens and one for the end of a document.
-MAX_VOCABULARY = 65_534
-UNKNOWN_ID = 65_534
+#: Token ids must fit 16 bits: one id per byte, then the vocabulary, and one id for the end of a document.
+BYTE_IDS = 256
+MAX_VOCABULARY = 65_535 - BYTE_IDS
 EOS_ID = 65_535
 WINDOW = 512
 #: A pre-token is a word, a number or a run of symbols with the space before it, or a run of white space.
@@ -22,44 +22,51 @@ def pretokens(text: Column) -> Column:
 
 
 def build_vocabulary(df: DataFrame, text: str = "text", size: int = MAX_VOCABULARY) -> DataFrame:
-    """``(token, id)`` of the most frequent pre-tokens, ties by token; the bound makes it safe to broadcast."""
+    """``(token, id)`` of the most frequent pre-tokens, ties by token; the bound makes it safe to broadcast.
+
+    The ids of the format have 16 bits. Pre-tokens beyond them are not lost: they are spelled as bytes.
+    """
     if not 0 < size <= MAX_VOCABULARY:
         raise ValueError(f"vocabulary size must be between 1 and {MAX_VOCABULARY}")
     counts = df.select(F.explode(pretokens(F.col(text))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), "token").limit(size)
-    return top.select("token", (F.row_number().over(Window.orderBy(F.desc("n"), "token")) - 1).alias("id"))
+    return top.select("token", (F.row_number().over(Window.orderBy(F.desc("n"), "token")) - 1 + BYTE_IDS).alias("id"))
 
 
 def tokenize(df: DataFrame, vocabulary: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(key, *keep, tokens)``: ids in text order with the end-of-document id last, also for empty texts.
 
-    ``vocabulary`` is a table of at most ``MAX_VOCABULARY`` rows. The empty pre-token stands for the end of
-    a document.
+    ``vocabulary`` is a table of at most ``MAX_VOCABULARY`` rows. A pre-token it does not have becomes the ids of its UTF-8
+    bytes, so every text can be read back (:func:`detokenize`). The empty pre-token stands for the end of a document.
     """
     end = df.sparkSession.range(1).select(F.lit("").alias("token"), F.lit(EOS_ID).alias("id"))
     ids = vocabulary.where("token <> ''").select("token", F.col("id").cast("int")).union(end)
     pieces = F.concat(pretokens(F.coalesce(F.col(text), F.lit(""))), F.array(F.lit("")))
     rows = df.select(key, *keep, F.posexplode(pieces).alias("_pos", "token")).join(F.broadcast(ids), "token", "left")
+    found = rows.select(key, *keep, "_pos", F.when(F.col("id").isNull(), _byte_ids(F.col("token"))).otherwise(F.array("id")).alias("ids"))
     # a document's ids meet in the map task that read it; the pairs are put in text order afterwards
-    gathered = rows.groupBy(key, *keep).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id")))).alias("_ids")
-    )
-    return gathered.select(key, *keep, F.col("_ids.id").alias("tokens"))
+    gathered = found.groupBy(key, *keep).agg(F.array_sort(F.collect_list(F.struct("_pos", "ids"))).alias("_ids"))
+    return gathered.select(key, *keep, F.flatten("_ids.ids").alias("tokens"))
 
 
-def tokenize_with_file(df: DataFrame, tokenizer_file: str, eos_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The same with a subword tokenizer file (``tokenizer.json``) that every executor can read."""
-
-    def encode(batches):
-        from tokenizers import Tokenizer
+def _byte_ids(token: Column) -> Column:
+    digits = F.hex(F.encode(token, "UTF-8"))
+    return F.transform(
+        F.sequence(F.lit(1), F.length(digits), F.lit(2)), lambda i: F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("int")
+    )
 
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        for batch in batches:
-            encoded = tokenizer.encode_batch(batch[text].fillna("").tolist(), add_special_tokens=False)
-            yield batch[[key]].assign(tokens=[e.ids + [eos_id] for e in encoded])
 
-    key_type = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInPandas(encode, f"{key} {key_type}, tokens array<int>")
+def detokenize(tokenized: DataFrame, vocabulary: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(key, text)`` of ``(key, tokens)``: the texts that were tokenized, character for character."""
+    spelled = vocabulary.select(F.col("id").cast("int").alias("id"), F.hex(F.encode("token", "UTF-8")).alias("_hex"))
+    single = tokenized.sparkSession.range(BYTE_IDS).select(
+        F.col("id").cast("int").alias("id"), F.lpad(F.hex("id"), 2, "0").alias("_hex")
+    )
+    end = tokenized.sparkSession.range(1).select(F.lit(EOS_ID).alias("id"), F.lit("").alias("_hex"))
+    rows = tokenized.select(key, F.posexplode("tokens").alias("_pos", "id"))
+    known = rows.join(F.broadcast(spelled.union(single).union(end)), "id")
+    gathered = known.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_hex"))).alias("_parts"))
+    return gathered.select(key, F.decode(F.unhex(F.array_join("_parts._hex", "")), "UTF-8").alias("text"))
 
 
 def check_uint16(tokens: Column) -> Column:

@@ -142,3 +142,11 @@ def test_fixed_point_and_partition_independence(spark):
     assert results[0] == results[1] == [2 * i for i in range(12)]
     kept = [r for r in rows if r[0] in results[0]]
     assert N.drop_near_duplicates(docs(spark, kept), p).count() == len(kept)
+
+
+def test_line_removal_is_linear_in_the_document(spark):
+    lines = [f"line {i}" for i in range(100_000)]
+    rows = [(0, "\n".join(lines)), (1, "\n".join(lines[::2]) + "\n")]
+    found = X.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    # the last line of the first document has no terminator, so it differs from any other
+    assert found[0]["text"] == "\n".join(lines[1::2]) and found[1]["text"] == ""

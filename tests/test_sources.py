@@ -114,9 +114,11 @@ def test_lists_dumps_and_folders(spark, tmp_path):
     (folder / "b.txt").write_text("")
     docs = files.read_document_folder(spark, str(folder))
     assert sorted(map(tuple, docs.collect())) == [("a.txt", "one\ntwo\n"), ("b.txt", "")]
-    files.write_document_folder(docs, str(tmp_path / "out"))
-    written = {d.name: "".join(p.read_text() for p in d.iterdir() if p.suffix == ".txt") for d in (tmp_path / "out").iterdir() if d.is_dir()}
-    assert written["name=a.txt"] == "one\ntwo\n" and written["name=b.txt"].strip() == ""
+    exact = [("a", "one\ntwo\n"), ("b", ""), ("c", "one\ntwo"), ("d", None), ("e", "\n"), ("f", "x\r\ny\u2028")]
+    files.write_documents(spark.createDataFrame(exact, "name string, text string"), str(tmp_path / "out"))
+    found = {r["name"]: bytes(r["content"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert found == {n: (t or "").encode() for n, t in exact}
+    assert {tuple(r) for r in files.read_documents(spark, str(tmp_path / "out")).collect()} == {(n, t or "") for n, t in exact}
     lines = spark.createDataFrame([("train", "__label__wiki good text"), ("valid", "__label__cc")], "split string, line string")
     files.write_labelled(lines, str(tmp_path / "set"))
     assert sorted(map(tuple, files.read_labelled(spark, str(tmp_path / "set" / "*")).collect())) == [("cc", ""), ("wiki", "good text")]
@@ -127,7 +129,9 @@ def test_token_stream(spark, tmp_path):
     vocabulary = K.build_vocabulary(docs, size=4)
     tokenized = K.tokenize(docs, vocabulary).cache()
     rows = {r["doc_id"]: r["tokens"] for r in tokenized.collect()}
-    assert rows[0] == [K.EOS_ID] and all(t[-1] == K.EOS_ID for t in rows.values()) and K.UNKNOWN_ID in rows[1]
+    assert rows[0] == [K.EOS_ID] and all(t[-1] == K.EOS_ID for t in rows.values()) and ord("1") in rows[1]
+    back = {r["doc_id"]: r["text"] for r in K.detokenize(tokenized, vocabulary).collect()}
+    assert back == {r["doc_id"]: r["text"] for r in docs.collect()}
     stream = [t for i in sorted(rows) for t in rows[i]]
     parts = token_stream.write_token_stream(tokenized, ["doc_id"], str(tmp_path / "bin")).collect()
     assert sum(p["tokens"] for p in parts) == len(stream) and sum(p["documents"] for p in parts) == 40
@@ -149,15 +153,3 @@ def test_token_stream(spark, tmp_path):
     too_large = tokenized.select("doc_id", F.array(F.lit(70_000)).alias("tokens"))
     with pytest.raises(Exception, match="outside 0..65535"):
         token_stream.write_token_stream(too_large, ["doc_id"], str(tmp_path / "bad")).collect()
-
-
-def test_tokenizer_file(spark, tmp_path):
-    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
-
-    tokenizer = Tokenizer(models.BPE(unk_token="?"))
-    tokenizer.pre_tokenizer = pre_tokenizers.Whitespace()
-    tokenizer.train_from_iterator(["low lower lowest new newer"] * 5, trainers.BpeTrainer(vocab_size=40, special_tokens=["?", "<eos>"]))
-    tokenizer.save(str(tmp_path / "tokenizer.json"))
-    docs = spark.createDataFrame([(1, "lower newer"), (2, ""), (3, None)], "doc_id long, text string")
-    got = {r["doc_id"]: r["tokens"] for r in K.tokenize_with_file(docs, str(tmp_path / "tokenizer.json"), 1).collect()}
-    assert got == {1: [*tokenizer.encode("lower newer").ids, 1], 2: [1], 3: [1]}
