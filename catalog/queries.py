@@ -17,7 +17,7 @@ from siftwork.operators import near_duplicates as N
 from siftwork.operators import reports, rules, sampling
 from siftwork.operators import tokens as K
 from siftwork.plans import curate as P
-from siftwork.plans import english, near_dedup
+from siftwork.plans import english
 from siftwork.plans import quality_model as Q
 from siftwork.plans import sequences
 from siftwork.session import materialize
@@ -188,8 +188,7 @@ def dup_clusters(spark, sf):
 
 
 def fuzzy_dedup(spark, sf):
-    p = MINHASH
-    return near_dedup.minhash_deduplicate(documents(spark, sf), p.num_hashes, p.num_bands, p.ngrams, p.threshold).select("doc_id")
+    return N.drop_near_duplicates(documents(spark, sf), MINHASH).select("doc_id")
 
 
 # -- pages and URLs ----------------------------------------------------------------------------------------

@@ -43,10 +43,10 @@ class MinHashParameters:
 
     def __post_init__(self):
         for name in ("num_hashes", "num_bands", "ngrams"):
-            if getattr(self, name) <= 0:
-                raise ValueError(f"{name} must be positive")
+            if getattr(self, name) < 1:
+                raise ValueError(f"{name} is {getattr(self, name)}; at least 1 is needed")
         if self.num_hashes % self.num_bands:
-            raise ValueError("num_hashes must be divisible by num_bands")
+            raise ValueError(f"{self.num_hashes} hashes cannot be shared out evenly among {self.num_bands} bands")
 
     @property
     def rows_per_band(self) -> int:

@@ -17,12 +17,12 @@ def _header(headers: Column, name: str) -> Column:
     return F.regexp_extract(headers, rf"(?im)^{name}:[ \t]*([^\r\n]*?)[ \t]*$", 1)
 
 
-def read_records(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+def read_records(spark: SparkSession, path: str) -> DataFrame:
     """``(type, url, date, record_id, payload, file)`` of every record.
 
     A payload is cut to its Content-Length. One that contains the separator arrives in pieces, the first of which is
     shorter than announced; records of another format version are not separated, so more follows than announced.
-    Both fail the job when ``strict``; :func:`read_records_exact` reads such files.
+    Both fail the job; :func:`read_records_exact` reads such files.
     """
     raw = spark.read.option("lineSep", SEPARATOR).text(path).select(
         # the header ends at the first blank line; it is found in the bytes, without decoding the payload
@@ -43,12 +43,11 @@ def read_records(spark: SparkSession, path: str, strict: bool = True) -> DataFra
     )
     payload = F.substring(F.col("_bytes"), F.col("_skip") + 1, F.col("_length"))
     records = fields.where("length(_bytes) > 0").withColumn("payload", payload)
-    if strict:
-        rest = F.length("_bytes") - F.col("_skip") - F.col("_length")
-        # the last record of a file keeps its final blank lines
-        broken = F.col("_length").isNull() | ~rest.between(0, 4)
-        message = F.concat(F.lit("record split by a separator in its payload, or of another version, in "), F.col("file"))
-        records = records.withColumn("payload", F.when(broken, F.raise_error(message).cast("binary")).otherwise(F.col("payload")))
+    rest = F.length("_bytes") - F.col("_skip") - F.col("_length")
+    # the last record of a file keeps its final blank lines
+    broken = F.col("_length").isNull() | ~rest.between(0, 4)
+    message = F.concat(F.lit("record split by a separator in its payload, or of another version, in "), F.col("file"))
+    records = records.withColumn("payload", F.when(broken, F.raise_error(message).cast("binary")).otherwise(F.col("payload")))
     return records.select("type", "url", "date", "record_id", "payload", "file")
 
 
@@ -85,16 +84,16 @@ def read_records_exact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(split, schema)
 
 
-def read_wet(spark: SparkSession, path: str, strict: bool = True, exact: bool = False) -> DataFrame:
+def read_wet(spark: SparkSession, path: str, exact: bool = False) -> DataFrame:
     """``(url, date, record_id, text, file)`` of the ``conversion`` records; invalid UTF-8 becomes U+FFFD."""
-    records = read_records_exact(spark, path) if exact else read_records(spark, path, strict)
+    records = read_records_exact(spark, path) if exact else read_records(spark, path)
     text = F.make_valid_utf8(F.col("payload").cast("string"))
     return records.where("type = 'conversion'").select("url", "date", "record_id", text.alias("text"), "file")
 
 
-def read_responses(spark: SparkSession, path: str, strict: bool = True, exact: bool = False) -> DataFrame:
+def read_responses(spark: SparkSession, path: str, exact: bool = False) -> DataFrame:
     """``(url, status, content_type, body, file)`` of the ``response`` records; status is null without HTTP headers."""
-    records = read_records_exact(spark, path) if exact else read_records(spark, path, strict)
+    records = read_records_exact(spark, path) if exact else read_records(spark, path)
     responses = records.where("type = 'response'").withColumn(
         "_head", F.substring_index(F.col("payload").cast("string"), "\r\n\r\n", 1)
     )

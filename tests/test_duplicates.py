@@ -7,7 +7,6 @@ from siftwork.operators import components as G
 from siftwork.operators import exact_duplicates as X
 from siftwork.operators import near_duplicates as N
 from siftwork.operators import skew
-from siftwork.plans.near_dedup import minhash_deduplicate
 
 MENU = [
     (1, "This service has noticed unusual traffic from your network.\n"),
@@ -82,7 +81,7 @@ def test_parameters(arguments):
 
 
 def test_exact_copies(spark):
-    kept = minhash_deduplicate(docs(spark, MENU), 100, 10, 5, 0.8)
+    kept = N.drop_near_duplicates(docs(spark, MENU), N.MinHashParameters(100, 10, 5, 0.8))
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 5]
 
 
@@ -150,3 +149,13 @@ def test_line_removal_is_linear_in_the_document(spark):
     found = X.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
     # the last line of the first document has no terminator, so it differs from any other
     assert found[0]["text"] == "\n".join(lines[1::2]) and found[1]["text"] == ""
+
+
+def test_two_of_three_licences_stay(spark):
+    """500 hashes in 50 bands: two variants of one text are one cluster, another text of the same kind is not."""
+    rng = random.Random(5)
+    grant = " ".join(f"grant{rng.randrange(90)}" for _ in range(170))
+    other = " ".join(f"clause{rng.randrange(200)}" for _ in range(450))
+    rows = [(1, grant), (2, grant.replace("grant7 ", "grant seven ", 1) + " as is"), (3, other)]
+    kept = N.drop_near_duplicates(docs(spark, rows), N.MinHashParameters(500, 50, 5, 0.8))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
