@@ -8,11 +8,12 @@ No bucket is expanded into its pairs. Documents with equal n-gram sets are folde
 
 1. each document with the least of the leaders of its buckets, a leader being the least document of a bucket;
 2. each document with those leaders of its buckets that are not in its class yet;
-3. in buckets that still hold several classes, documents of different classes that share one of their rarest n-grams.
-   Sets with a similarity of ``t`` share one of the ``|x| - ceil(t |x|) + 1`` rarest of each, so this loses no pair.
+3. where a bucket still holds several classes, each document with the leaders of finer buckets, made of two bands each, that
+   are not in its class. Documents of one finer bucket agree in twice as many hashes.
 
-So any two documents that share a bucket and are similar enough end up in one class, and the number of compared pairs
-grows with the documents and not with the square of a group.
+The number of compared pairs so grows with the documents and not with the square of a group. Two similar documents are in
+one class if a chain of verified links joins them; the chance to miss one is that of banding, and, in buckets of many
+different classes, that of the finer buckets.
 
 Defined results: a document without words (null, empty, marks only) is in a class of its own with no links; one of fewer
 than ``n`` words has a single n-gram of all of them; equal texts and repeated keys are in one class; rows with a null key
@@ -29,14 +30,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from siftwork.llm.batches import WordReader, distinct_grams, list_array, random_values, views, with_text_columns
+from siftwork.llm.links import connected
 from siftwork.llm.tables import saved, small_side
-from siftwork.operators.components import components
 from siftwork.operators.skew import salted_join
 
 BUCKET = ["band", "bucket"]
+#: Partners of a band in finer buckets: with the next so many bands.
+FINER = 3
 
 
 @cache
@@ -49,7 +51,7 @@ def banding(threshold: float, recall: float, most: int = 96) -> tuple[int, int]:
     best = None
     for rows in range(1, most + 1):
         chance = threshold**rows
-        bands = 1 if chance >= recall else math.ceil(math.log(1 - recall) / math.log(1 - chance))
+        bands = 1 if chance >= recall else math.ceil(math.log1p(-recall) / math.log1p(-chance))
         if bands * rows <= most:
             area = sum(1 - (1 - (threshold * i / 100) ** rows) ** bands for i in range(100))
             if best is None or area < best[0]:
@@ -136,7 +138,7 @@ def _verified(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    return saved(components(links.select("a", "b"), "a", "b"), "labels")
+    return connected(links)
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
@@ -144,26 +146,37 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
     return found.withColumn(name, F.coalesce(name, column))
 
 
-def _rarest_shared(buckets: DataFrame, labels: DataFrame, grams: DataFrame, rule: JoinRule) -> DataFrame:
-    """``(a, b)`` of different classes in one bucket that share a gram among the rarest of either."""
+def _finer_leaders(buckets: DataFrame, labels: DataFrame, rule: JoinRule) -> DataFrame:
+    """``(a, b)``: leaders and members of different classes in buckets of two bands, where one bucket holds several classes."""
     classed = _labelled(buckets.select(*BUCKET, "id"), labels, "id", "_class")
     mixed = classed.groupBy(*BUCKET).agg(F.min("_class").alias("_lo"), F.max("_class").alias("_hi")).where("_lo <> _hi")
-    members = saved(classed.join(mixed.select(*BUCKET), BUCKET), "mixed")
-    sets = grams.join(members.select("id").distinct(), "id", "left_semi")
-    rows = sets.select("id", F.size("grams").alias("_size"), F.explode("grams").alias("gram"))
-    often = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("_often")).where("_often > 1")
-    order = Window.partitionBy("id").orderBy(F.coalesce("_often", F.lit(1)), "gram")
-    prefix = rows.join(often, "gram", "left").withColumn("_place", F.row_number().over(order)).where(
-        F.col("_place") <= F.col("_size") - F.ceil(F.lit(rule.threshold) * F.col("_size") - 1e-9) + 1
-    ).where("_often is not null").select("id", "_size", "gram")
-    placed = saved(members.join(prefix, "id"), "rarest")
-    other = placed.select(
-        *BUCKET, "gram", F.col("id").alias("b"), F.col("_class").alias("_other"), F.col("_size").alias("_other_size")
+    rows = classed.join(mixed.select(*BUCKET, F.lit(True).alias("_mixed")), BUCKET, "left")
+    # at most one bucket per band and document
+    own = rows.groupBy("id", "_class").agg(
+        F.map_from_entries(F.collect_list(F.struct("band", F.struct("bucket", F.coalesce("_mixed", F.lit(False)).alias("mixed"))))).alias("_of")
+    ).where(F.exists(F.map_values("_of"), lambda v: v["mixed"]))
+    bands = rule.bands[0]
+    both = [(i, (i + step) % bands) for i in range(bands) for step in range(1, min(FINER, bands - 1) + 1)]
+    keys = F.filter(
+        F.array(
+            *[
+                F.when(
+                    F.try_element_at("_of", F.lit(i))["mixed"] | F.try_element_at("_of", F.lit(j))["mixed"],
+                    F.xxhash64(F.lit(i), F.lit(j), F.try_element_at("_of", F.lit(i))["bucket"], F.try_element_at("_of", F.lit(j))["bucket"]),
+                )
+                for i, j in both
+            ]
+        ),
+        lambda k: k.isNotNull(),
     )
-    return placed.join(other, [*BUCKET, "gram"]).where(
-        (F.col("id") < F.col("b")) & (F.col("_class") != F.col("_other"))
-        & (F.least("_size", "_other_size") >= rule.threshold * F.greatest("_size", "_other_size"))
-    ).select(F.col("id").alias("a"), "b").distinct()
+    finer = saved(own.select("id", "_class", F.explode(keys).alias("key")), "finer")
+    led = finer.groupBy("key").agg(
+        F.min(F.struct("id", "_class")).alias("_lead"), F.min("_class").alias("_lo"), F.max("_class").alias("_hi"),
+        F.count(F.lit(1)).alias("n"),
+    ).where("_lo <> _hi")
+    led = saved(led.select("key", F.col("_lead.id").alias("a"), F.col("_lead._class").alias("_other"), "n"), "led")
+    met = salted_join(finer, led.drop("n"), ["key"], F.col("id"), counts=led)
+    return met.where("_class <> _other").select("a", F.col("id").alias("b")).distinct()
 
 
 @dataclass
@@ -200,15 +213,15 @@ def similar(docs: DataFrame, rule: JoinRule = JoinRule(), key: str = "doc_id", t
     least = buckets.groupBy("id").agg(F.min("leader").alias("a")).where("a <> id").select("a", F.col("id").alias("b"))
     links = _verified(least, grams, rule.threshold)
     labels = _labels(links)
-    for step in (_other_leaders, _rarest_shared):
-        more = _verified(step(buckets, labels, grams, rule), grams, rule.threshold)
+    for step in (_other_leaders, _finer_leaders):
+        more = _verified(step(buckets, labels, rule), grams, rule.threshold)
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = _labels(links)
     return Joined(members, links, labels)
 
 
-def _other_leaders(buckets: DataFrame, labels: DataFrame, grams: DataFrame, rule: JoinRule) -> DataFrame:
+def _other_leaders(buckets: DataFrame, labels: DataFrame, rule: JoinRule) -> DataFrame:
     """``(a, b)``: leaders and members of a bucket that are in different classes."""
     pairs = buckets.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     return _labelled(_labelled(pairs, labels, "a", "_ca"), labels, "b", "_cb").where("_ca <> _cb").select("a", "b")
