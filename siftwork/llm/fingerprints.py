@@ -167,25 +167,27 @@ def _buckets(ids: DataFrame, key: str, n: int) -> list:
     return [] if found["least"] is None else sorted({found["least"], *found["cuts"]})
 
 
-def with_next(df: DataFrame, key: str, columns: list[str], prefix: str = "next_") -> DataFrame:
+def with_next(df: DataFrame, key: str, columns: list[str], prefix: str = "next_", prepare=None) -> DataFrame:
     """Each row with ``columns`` of the next row by ascending ``key``; the row after the last is the first.
 
+    ``prepare`` adds columns to the rows just before they move, so that looking for ranges does not compute them.
+
     The keys are cut into ranges of about equal size (a few thousand numbers reach the driver). The least row of a range
     also goes to the range before it as its last row; then a window inside each range finds every next row. The text
     moves once, and no task sees more than a range. Rows with a null key are left out. Rows that share a key follow each
     other in the order of their columns' hash.
     """
     n = max(1, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = df.where(F.col(key).isNotNull())
+    rows, prepare = df.where(F.col(key).isNotNull()), prepare or (lambda moved: moved)
     cuts = _buckets(rows.select(key), key, n)
     if not cuts:
-        return rows.select("*", *[F.col(c).alias(prefix + c) for c in columns])
+        return prepare(rows).select("*", *[F.col(c).alias(prefix + c) for c in columns])
     step = max(1, int(len(cuts) ** 0.5))
     starts, coarse = F.array(*map(F.lit, cuts)), F.array(*map(F.lit, cuts[::step]))
     below = lambda c: F.size(F.filter(c, lambda x: x <= F.col(key)))
     block = (below(coarse) - 1) * step
     bucket = (block + below(F.slice(starts, block + 1, step)) - 1).cast("int")
-    tie = F.xxhash64(*columns)
+    tie = F.xxhash64(*rows.columns)
     firsts = rows.withColumn("_bucket", bucket).groupBy("_bucket").agg(
         F.min(F.struct(F.col(key), tie.alias("t"))).alias("_first")
     )
@@ -214,6 +216,8 @@ def with_next(df: DataFrame, key: str, columns: list[str], prefix: str = "next_"
             ).otherwise(F.array(F.struct(F.col("_bucket").alias("at"), F.lit(False).alias("guest"))))
         ),
     ).select(*df.columns, "_tie", F.col("_place.at").alias("_at"), F.col("_place.guest").alias("_guest"))
+    dealt = prepare(dealt)
+    kept = [c for c in dealt.columns if c not in ("_tie", "_at", "_guest")]
     order = Window.partitionBy("_at").orderBy("_guest", key, "_tie")
     following = [F.lead(c).over(order).alias(prefix + c) for c in columns]
-    return dealt.select(*df.columns, "_guest", *following).where("not _guest").drop("_guest")
+    return dealt.select(*kept, "_guest", *following).where("not _guest").drop("_guest")

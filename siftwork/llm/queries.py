@@ -20,8 +20,9 @@ def op1_passages(spark: SparkSession, sf: str) -> DataFrame:
 
 def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they are."""
-    docs = fingerprints.with_fingerprint(read_texts(spark, sf), "text", "lanes")
-    paired = fingerprints.with_next(docs, "doc_id", ["text", "lanes"])
+    paired = fingerprints.with_next(
+        read_texts(spark, sf), "doc_id", ["text", "lanes"], prepare=lambda rows: fingerprints.with_fingerprint(rows, "text", "lanes")
+    )
     n, half = F.length("text"), F.floor(F.length("text") / 2)
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
     rows = paired.select(
