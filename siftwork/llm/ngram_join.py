@@ -3,17 +3,18 @@
 The numbers of bands and rows follow from the target recall at the threshold (:func:`banding`). Only band hashes are
 shuffled to find candidates; a pair counts when the Jaccard similarity of its full n-gram sets reaches the threshold.
 
-No bucket is expanded into its pairs. Documents with equal n-gram sets are folded into the least of them, and then classes
-(connected components of the links) are found in three steps, each on what the last one left open:
+Documents with equal n-gram sets are folded into the least of them. Every two of the others that share a bucket are compared
+on their full n-gram sets, so a link is missed with the chance of banding only, whichever documents are in the bucket. Pairs
+are never rows of a table:
 
-1. each document with the least of the leaders of its buckets, a leader being the least document of a bucket;
-2. each document with those leaders of its buckets that are not in its class yet;
-3. where a bucket still holds several classes, each document with the leaders of finer buckets, made of two bands each, that
-   are not in its class. Documents of one finer bucket agree in twice as many hashes.
+1. documents connected by buckets are a group, which is cut into blocks of about ``BLOCK`` n-grams; a task meets two blocks of
+   one group, compares their documents in memory, and tells for each document how many links it has there and one document
+   it is connected to. A group that fits one block is shuffled once;
+2. a group of more than ``MOST`` blocks is not compared as a whole: each of its buckets is cut into blocks instead, and a pair
+   counts in the first bucket that it shares.
 
-The number of compared pairs so grows with the documents and not with the square of a group. Two similar documents are in
-one class if a chain of verified links joins them; the chance to miss one is that of banding, and, in buckets of many
-different classes, that of the finer buckets.
+Rows between tasks grow with documents times blocks of their group. Comparisons grow with the square of a group, as the links
+to be counted may; documents too different in size are skipped.
 
 Defined results: a document without words (null, empty, marks only) is in a class of its own with no links; one of fewer
 than ``n`` words has a single n-gram of all of them; equal texts and repeated keys are in one class; rows with a null key
@@ -37,8 +38,10 @@ from siftwork.llm.tables import saved, small_side
 from siftwork.operators.skew import salted_join
 
 BUCKET = ["band", "bucket"]
-#: Partners of a band in finer buckets: with the next so many bands.
-FINER = 3
+#: N-grams of the documents that a task holds of one block; each document counts as ``EACH`` more.
+BLOCK, EACH = 250_000, 50
+#: Blocks of a group of connected buckets; a larger one is compared by buckets.
+MOST = 16
 
 
 @cache
@@ -125,20 +128,122 @@ def gram_sets(docs: DataFrame, n: int, text: str = "_text") -> DataFrame:
     return with_text_columns(docs, text, make, "grams array<bigint>").drop(text)
 
 
-def _verified(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, jaccard)`` of the distinct ``pairs`` that reach the threshold, stored. A document in many pairs is salted."""
-    pairs = saved(pairs, "pairs")
-    of_b = pairs.join(grams.select(F.col("id").alias("b"), F.col("grams").alias("_gb")), "b")
-    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    both = salted_join(
-        of_b, grams.select(F.col("id").alias("a"), F.col("grams").alias("_ga")), ["a"], F.col("b"), counts=counts
-    ).select("a", "b", F.size("_ga").alias("_na"), F.size("_gb").alias("_nb"), F.size(F.array_intersect("_ga", "_gb")).alias("_n"))
-    measured = both.select("a", "b", (F.col("_n") / (F.col("_na") + F.col("_nb") - F.col("_n"))).alias("jaccard"))
-    return saved(measured.where(F.col("jaccard") >= threshold), "links")
+def _stars(
+    sizes: np.ndarray, grams: np.ndarray, starts: np.ndarray, copies: np.ndarray, side: np.ndarray, bands: np.ndarray | None,
+    band: int, threshold: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of each document of two blocks (sides 0 and 1) or one (side -1): a document it is connected to, and its links.
 
-
-def _labels(links: DataFrame) -> DataFrame:
-    return connected(links)
+    ``grams`` are numbers from 0 on. A link counts once for each copy of the other end. With ``bands``, only pairs of which
+    ``band`` is the first band they share are taken.
+    """
+    component, links = np.arange(len(sizes)), np.zeros(len(sizes), np.int64)
+    order = np.argsort(sizes, kind="stable")
+    whole = side[0] < 0
+    left, right = (order, order) if whole else (order[side[order] == 0], order[side[order] == 1])
+    wide = sizes[right]
+    at = np.concatenate([[0], np.cumsum(wide)])
+    flat = grams[np.repeat(starts[right] - at[:-1], wide) + np.arange(at[-1])]
+    marks = np.zeros(int(grams.max()) + 1, np.int32)
+    for k, i in enumerate(left.tolist()):
+        size = int(sizes[i])
+        first = int(np.searchsorted(wide, size * threshold - 1e-6))
+        end = k if whole else int(np.searchsorted(wide, size / threshold + 1e-6, "right"))
+        if first >= end:
+            continue
+        own = grams[starts[i] : starts[i] + size]
+        marks[own] = 1
+        common = np.add.reduceat(marks[flat[at[first] : at[end]]], at[first:end] - at[first])
+        marks[own] = 0
+        near = common / (size + wide[first:end] - common) >= threshold
+        if bands is not None:
+            near &= (bands[right[first:end]] == bands[i]).argmax(1) == band
+        met = right[first:end][near]
+        if len(met):
+            links[i] += copies[met].sum()
+            links[met] += copies[i]
+            if (component[met] != component[i]).any():
+                joined = np.unique(np.append(component[met], component[i]))
+                component[np.isin(component, joined)] = joined[0]
+    return component, links
+
+
+def _compared(rows: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b, n)``: ``b`` has ``n`` links in one of its groups, by which it is connected to ``a`` (maybe itself).
+
+    ``rows`` are ``group, side, band, id, copies, bands, grams``; ``band`` is -1 where all pairs of a group count.
+    """
+    kind = dict(rows.dtypes)["id"]
+
+    def told(parts):
+        batch = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        side, band, copies = (batch.column(k).to_numpy() for k in ("side", "band", "copies"))
+        if len(side) < 2:
+            return None
+        lists, bands = batch.column("grams"), None
+        sizes = lists.value_lengths().to_numpy().astype(np.int64)
+        _, grams = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        if band[0] >= 0:
+            bands = batch.column("bands").flatten().to_numpy().reshape(len(side), -1)
+        component, links = _stars(
+            sizes, grams, np.concatenate([[0], np.cumsum(sizes)]), copies, side, bands, int(band[0]), threshold
+        )
+        some = np.flatnonzero(links)
+        if not len(some):
+            return None
+        ids = batch.column("id")
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(component[some])), ids.take(pa.array(some)), pa.array(links[some])], names=["a", "b", "n"]
+        )
+
+    def run(batches):
+        parts, group = [], None
+        for batch in batches:
+            groups = batch.column("group").to_numpy()
+            if not len(groups):
+                continue
+            cuts = [0, *(np.flatnonzero(groups[1:] != groups[:-1]) + 1).tolist(), len(groups)]
+            for first, end in zip(cuts, cuts[1:]):
+                if parts and groups[first] != group:
+                    if (found := told(parts)) is not None:
+                        yield found
+                    parts = []
+                group = groups[first]
+                parts.append(batch.slice(first, end - first))
+        if parts and (found := told(parts)) is not None:
+            yield found
+
+    # a fixed number of partitions: few bytes may be many comparisons
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(tasks, "group").sortWithinPartitions("group")
+    return dealt.mapInArrow(run, f"a {kind}, b {kind}, n bigint")
+
+
+def _blocks(placed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``(band, name, blocks)``: how many blocks the groups ``(band, name)`` of ``placed`` are cut into."""
+    weight = F.sum(F.col("size") + EACH) / BLOCK
+    return placed.join(sizes, "id").groupBy("band", "name").agg(F.ceil(weight).cast("int").alias("blocks"))
+
+
+def _places(buckets: DataFrame, reps: DataFrame) -> DataFrame:
+    """``(id, band, name, blocks)``, stored: the groups a document is compared in."""
+    sizes = reps.select("id", "size")
+    near = buckets.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    placed = saved(
+        connected(near).select(F.col("node").alias("id"), F.lit(-1).alias("band"), F.xxhash64("component").alias("name")), "placed"
+    )
+    blocks = saved(_blocks(placed, sizes), "blocks")
+    joined = saved(placed.join(blocks, ["band", "name"]), "places")
+    large = saved(joined.where(F.col("blocks") > MOST).select("id"), "large")
+    if large.isEmpty():
+        return joined
+    split = saved(buckets.join(large, "id").select("id", F.col("band").cast("int").alias("band"), F.col("bucket").alias("name")), "split")
+    cut = saved(_blocks(split, sizes), "blocks")
+    by_bucket = salted_join(
+        split, cut, ["band", "name"], F.col("id"), counts=split.groupBy("band", "name").agg(F.count(F.lit(1)).alias("n"))
+    )
+    kept = joined.where(F.col("blocks") <= MOST)
+    return saved(kept.unionByName(by_bucket.select(*kept.columns)), "places")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
@@ -146,42 +251,12 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
     return found.withColumn(name, F.coalesce(name, column))
 
 
-def _finer_leaders(buckets: DataFrame, labels: DataFrame, rule: JoinRule) -> DataFrame:
-    """``(a, b)``: leaders and members of different classes in buckets of two bands, where one bucket holds several classes."""
-    classed = _labelled(buckets.select(*BUCKET, "id"), labels, "id", "_class")
-    mixed = classed.groupBy(*BUCKET).agg(F.min("_class").alias("_lo"), F.max("_class").alias("_hi")).where("_lo <> _hi")
-    rows = classed.join(mixed.select(*BUCKET, F.lit(True).alias("_mixed")), BUCKET, "left")
-    # at most one bucket per band and document
-    own = rows.groupBy("id", "_class").agg(
-        F.map_from_entries(F.collect_list(F.struct("band", F.struct("bucket", F.coalesce("_mixed", F.lit(False)).alias("mixed"))))).alias("_of")
-    ).where(F.exists(F.map_values("_of"), lambda v: v["mixed"]))
-    bands = rule.bands[0]
-    both = [(i, (i + step) % bands) for i in range(bands) for step in range(1, min(FINER, bands - 1) + 1)]
-    keys = F.filter(
-        F.array(
-            *[
-                F.when(
-                    F.try_element_at("_of", F.lit(i))["mixed"] | F.try_element_at("_of", F.lit(j))["mixed"],
-                    F.xxhash64(F.lit(i), F.lit(j), F.try_element_at("_of", F.lit(i))["bucket"], F.try_element_at("_of", F.lit(j))["bucket"]),
-                )
-                for i, j in both
-            ]
-        ),
-        lambda k: k.isNotNull(),
-    )
-    finer = saved(own.select("id", "_class", F.explode(keys).alias("key")), "finer")
-    led = finer.groupBy("key").agg(
-        F.min(F.struct("id", "_class")).alias("_lead"), F.min("_class").alias("_lo"), F.max("_class").alias("_hi"),
-        F.count(F.lit(1)).alias("n"),
-    ).where("_lo <> _hi")
-    led = saved(led.select("key", F.col("_lead.id").alias("a"), F.col("_lead._class").alias("_other"), "n"), "led")
-    met = salted_join(finer, led.drop("n"), ["key"], F.col("id"), counts=led)
-    return met.where("_class <> _other").select("a", F.col("id").alias("b")).distinct()
-
-
 @dataclass
 class Joined:
-    """Stored results: ``members`` (id, rep, copies), ``links`` (a, b, jaccard of representatives), ``labels``."""
+    """Stored results: ``members`` (id, rep, copies), ``links`` (a, b, n) of representatives, ``labels``.
+
+    A row of ``links`` stands for ``n`` links of ``b``, a link to each copy of the other text, in a class with ``a``.
+    """
 
     members: DataFrame
     links: DataFrame
@@ -201,39 +276,37 @@ def similar(docs: DataFrame, rule: JoinRule = JoinRule(), key: str = "doc_id", t
         ).select("id", F.coalesce("rep", "id").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies")),
         "members",
     )
-    reps = signed.where("size > 0").join(members.where("rep = id").select("id").distinct(), "id", "left_semi")
-    banded = reps.select("id", F.posexplode("bands").alias(*BUCKET)).distinct()
+    firsts = members.where("rep = id").select("id", "copies").dropDuplicates(["id"])
+    reps = saved(signed.where("size > 0").drop("k0", "k1").join(firsts, "id").dropDuplicates(["id"]), "reps")
+    banded = reps.select("id", F.posexplode("bands").alias(*BUCKET))
     shared = banded.groupBy(*BUCKET).agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = saved(shared, "shared")
     buckets = saved(salted_join(banded, shared.drop("n"), BUCKET, F.col("id"), counts=shared), "buckets")
-    sharing = saved(buckets.select("id").distinct(), "sharing")
-    grams = saved(
-        gram_sets(texts.join(small_side(sharing), "id", "left_semi"), rule.ngram).dropDuplicates(["id"]), "grams"
+    places = _places(buckets, reps)
+    sharing = saved(places.select("id").distinct(), "sharing")
+    grams = gram_sets(texts.join(small_side(sharing), "id", "left_semi"), rule.ngram).dropDuplicates(["id"])
+    by_bucket = places.where("band >= 0").select("id").distinct().withColumn("_by", F.lit(True))
+    known = reps.join(by_bucket, "id", "left").select("id", "copies", F.when(F.col("_by"), F.col("bands")).alias("bands"))
+    block, other = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.col("_other")
+    met = grams.join(places.join(known, "id"), "id").withColumn("_block", block).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
-    least = buckets.groupBy("id").agg(F.min("leader").alias("a")).where("a <> id").select("a", F.col("id").alias("b"))
-    links = _verified(least, grams, rule.threshold)
-    labels = _labels(links)
-    for step in (_other_leaders, _finer_leaders):
-        more = _verified(step(buckets, labels, rule), grams, rule.threshold)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = _labels(links)
-    return Joined(members, links, labels)
-
-
-def _other_leaders(buckets: DataFrame, labels: DataFrame, rule: JoinRule) -> DataFrame:
-    """``(a, b)``: leaders and members of a bucket that are in different classes."""
-    pairs = buckets.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    return _labelled(_labelled(pairs, labels, "a", "_ca"), labels, "b", "_cb").where("_ca <> _cb").select("a", "b")
+    rows = met.select(
+        F.xxhash64("band", "name", F.least("_block", other), F.greatest("_block", other)).alias("group"),
+        F.when(F.col("_block") == other, -1).when(F.col("_block") < other, 0).otherwise(1).alias("side"),
+        "band", "id", "copies", "bands", "grams",
+    )
+    links = saved(_compared(rows, rule.threshold), "links")
+    return Joined(members, links, connected(links))
 
 
 def classes(docs: DataFrame, rule: JoinRule = JoinRule(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, class_id, n_links)`` of every document: the least key of its class, and its verified links.
 
-    A document has the links of its representative and one to each other document with its n-gram set.
+    A document has a link to every similar document, those with its own n-gram set included.
     """
     joined = similar(docs, rule, key, text)
-    ends = joined.links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("_links"))
+    ends = joined.links.groupBy(F.col("b").alias("rep")).agg(F.sum("n").alias("_links"))
     named = joined.labels.select(F.col("node").alias("rep"), F.col("component").alias("class_id"))
     reps = saved(named.join(ends, "rep", "left"), "classes")
     found = salted_join(

@@ -156,6 +156,29 @@ def test_ngram_join_on_templates_and_empty_tables(docs):
     assert ngram_join.classes(docs([])).count() == 0
 
 
+def crowd():
+    """A crowd of one template, no two of them near copies, but for two pairs whose ids are the last."""
+    r, head = random.Random(11), prose(7, 180, 10**6)
+    texts = [head + " " + prose(1000 + i, 26, 10**6) for i in range(300)]
+    for i in (40, 41):
+        w = prose(1000 + i, 26, 10**6).split()
+        w[r.randrange(8, 18)] = "y"
+        texts.append(head + " " + " ".join(w[:-1]))
+    return texts
+
+
+@pytest.mark.parametrize("block, most", [(250_000, 16), (3_000, 10**6), (3_000, 1)])
+def test_ngram_join_counts_every_link(docs, monkeypatch, block, most):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "MOST", most)
+    texts = [*ODD, *variants(1, 300, 30, 2), *variants(2, 120, 20, 1), *variants(3, 200, 40, 8), *crowd()]
+    texts += texts[9:15]
+    pairs = brute.near_pairs(dict(enumerate(texts)))
+    expected, ends = brute.components(pairs, range(len(texts))), [i for p in pairs for i in p]
+    found = by_id(ngram_join.classes(docs(texts)), "class_id", "n_links")
+    assert found == {i: (expected[i], ends.count(i)) for i in range(len(texts))}
+
+
 def test_connected(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     found = {r["node"]: r["component"] for r in connected(spark.createDataFrame(pairs, "a long, b long")).collect()}
