@@ -9,8 +9,8 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z were lower-cased.
 item; an item of fewer words, but not none, is one window.
 
 Defined results: a null text has no words, is contaminated by nothing and yields no window; equal windows of several items
-count for each of them; repeated rows with the same key count as one document each only if the key is unique, so keys must
-be unique; rows with a null key are left out of matches.
+count for each of them; rows with the same key, equal or not, have the matches of all of them, and the report has a row for
+each; rows with a null key are left out of matches.
 
 Only DataFrame operations are used. The index holds the postings of the benchmark's terms and is written once to the shared
 folder. Texts are read to build it, and once more to compare phrases in documents in which the rarest terms of a phrase
@@ -105,10 +105,12 @@ def candidates(postings: DataFrame, phrases: DataFrame, key: str = "doc_id") ->
     anchors = saved(rarest_terms(phrases, counts), "anchors")
     # of a repeated term in one phrase, each place is a list of its own
     met = postings.join(small_side(anchors), "term").select(
-        key, "window", (F.col("position") - F.col("offset")).alias("start"), "lists"
+        key, "window", (F.col("position") - F.col("offset")).alias("start"), "rank", "lists"
     ).where("start >= 0")
-    return met.groupBy(key, "window", "start").agg(F.count(F.lit(1)).alias("_met"), F.first("lists").alias("_lists")).where(
-        "_met = _lists"
+    # which lists meet, not how many postings: a repeated row has each of its postings twice
+    lists = F.bit_or(F.expr("shiftleft(1L, rank - 1)")).alias("_met")
+    return met.groupBy(key, "window", "start").agg(lists, F.first("lists").alias("_lists")).where(
+        "bit_count(_met) = _lists"
     ).select(key, "window", "start")
 
 
@@ -132,7 +134,7 @@ def exact_matches(
             )
         ).alias("_hit"),
     ).select(key, F.col("_hit.window").alias("window"), F.col("_hit.start").alias("start"), F.size("_hit.phrase").alias("length"))
-    return true.join(found.select("window", item), "window").select(key, item, "window", "start", "length")
+    return true.distinct().join(found.select("window", item), "window").select(key, item, "window", "start", "length")
 
 
 def proximity_matches(
@@ -163,7 +165,7 @@ def proximity_matches(
 
     return texts.select(key, F.explode(F.filter("_wanted", near)).alias("_hit")).select(
         key, F.col("_hit.window").alias(phrase), F.col("_hit.position").alias("position")
-    )
+    ).distinct()
 
 
 def hit_words(matches: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -178,7 +180,7 @@ def hit_words(matches: DataFrame, key: str = "doc_id") -> DataFrame:
 def report(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text", size: int = WINDOW
 ) -> DataFrame:
-    """One row per document: ``n_words, n_hit, items`` (the items that occur, as sorted strings), ``contaminated``."""
+    """One row per row of ``docs``: ``n_words, n_hit, items`` (the items that occur, as sorted strings), ``contaminated``."""
     found = saved(windows(items, item, text, size), "windows")
     postings = index(docs, terms_of(found), key, text)
     matches = saved(exact_matches(docs, postings, found, key, item, text), "matches")

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siftwork.llm.batches import WordReader, distinct_grams, list_array, random_values, views, with_text_columns
 from siftwork.llm.links import connected
@@ -322,8 +323,16 @@ def classes(docs: DataFrame, rule: JoinRule = JoinRule(), key: str = "doc_id", t
 
 
 def keep_first(docs: DataFrame, rule: JoinRule = JoinRule(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents whose class has a lesser key. Rows with a null key stay."""
+    """``docs`` without the documents whose class has a lesser key, and with one row per key. Rows with a null key stay."""
     joined = similar(docs, rule, key, text)
     named = _labelled(joined.members.select("id", "rep"), joined.labels, "rep", "_class")
     dropped = saved(named.where("id <> _class").select(F.col("id").alias(key)).distinct(), "dropped")
-    return docs.join(small_side(dropped), key, "left_anti")
+    kept = docs.join(small_side(dropped), key, "left_anti")
+    counts = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = saved(counts.where("_n > 1").select(key), "repeated")
+    if repeated.isEmpty():
+        return kept
+    side = small_side(repeated)
+    order = Window.partitionBy(key).orderBy(F.col(text).desc_nulls_last())
+    firsts = kept.join(side, key, "left_semi").withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+    return kept.join(side, key, "left_anti").unionByName(firsts.select(*kept.columns))

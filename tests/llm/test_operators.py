@@ -79,6 +79,19 @@ def test_decontamination_equals_brute_force(spark, docs):
     assert not any(r["contaminated"] for r in decontamination.report(docs(texts), table.where("false")).collect())
 
 
+def test_contaminated_rows_may_be_repeated(spark, docs):
+    items = {1: prose(1, 30), 2: "short item", 3: "one"}
+    texts = [prose(9, 50) + " " + prose(1, 15), "a short ITEM", "One", "clean words"]
+    table = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    once = docs(texts)
+    twice = once.union(once.where("doc_id <> 1")).union(once.where("doc_id = 0"))
+    found = decontamination.report(twice, table).collect()
+    expected = brute.contamination(dict(enumerate(texts)), items)
+    assert sorted(r["doc_id"] for r in found) == [0, 0, 0, 1, 2, 2, 3, 3]
+    assert all((r["n_words"], r["n_hit"], r["contaminated"]) == (*expected[r["doc_id"]][:2], expected[r["doc_id"]][4]) for r in found)
+    assert sorted(r["doc_id"] for r in ngram_join.keep_first(twice).collect()) == [0, 1, 2, 3]
+
+
 def test_proximity_matches(spark, docs):
     phrases = spark.createDataFrame([(1, "red green blue"), (2, "red red")], "phrase_id long, text string")
     texts = ["blue x green y RED", "red a b c d e f green blue", "red x red", "red", None]
