@@ -214,6 +214,20 @@ def test_passages(docs):
     assert passages.classes(docs([])).count() == 0
 
 
+def test_edited_passages_share_a_cell():
+    r, cells, hits = random.Random(7), passages._Cells(), 0
+    for _ in range(400):
+        before, passage, after = ([f"w{r.randrange(10**6)}" for _ in range(n)] for n in (20, 50, 40))
+        edited = list(passage)
+        edited[r.randrange(50)] = "y"
+        texts = [" ".join(w).encode() for w in (passage + after, before + edited + after[::-1])]
+        offsets = np.cumsum([0, *map(len, texts)])
+        owner, key, c, _, _ = cells(np.frombuffer(b"".join(texts), np.uint8), offsets)
+        there = set(zip(key[owner == 0].tolist(), c[owner == 0].tolist()))
+        hits += any((k, p - 20) in there for k, p in zip(key[owner == 1].tolist(), c[owner == 1].tolist()))
+    assert hits >= 390
+
+
 def test_compact_windows_hold_every_subsequence_once():
     r = np.random.default_rng(1)
     values = r.integers(1, 30, 200).astype(np.uint64)
