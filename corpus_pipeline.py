@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 
 from siftwork.llm import decontamination, mixing, ngram_join, secret_scan, toxicity
 from siftwork.llm.queries import MIX, label_domains
-from siftwork.llm.tables import read_texts, saved, small_side
+from siftwork.llm.tables import read_texts, saved, small_side, unused
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7, trained on all labels: documents with a score of 0.5 or more go."""
     model = toxicity.train(read_texts(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.with_score(docs, model, "text", "_toxicity")
-    return scored.where("_toxicity < 0.5").select(*docs.columns)
+    name = unused(docs, "toxicity")
+    scored = toxicity.with_score(docs, model, "text", name)
+    return scored.where(F.col(name) < 0.5).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +36,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: values of secrets are masked, and ``n_chars`` follows the text."""
-    masked = docs.withColumn("_new", secret_scan.redacted(F.coalesce("text", F.lit(""))))
-    changed = F.col("_new") != F.coalesce("text", F.lit(""))
+    new = unused(docs, "masked")
+    masked = docs.withColumn(new, secret_scan.redacted(F.coalesce("text", F.lit(""))))
+    changed = F.col(new) != F.coalesce("text", F.lit(""))
     return masked.select(
         *[
-            F.when(changed, F.col("_new")).otherwise(F.col("text")).alias("text") if c == "text"
-            else F.when(changed, F.length("_new")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+            F.when(changed, F.col(new)).otherwise(F.col("text")).alias("text") if c == "text"
+            else F.when(changed, F.length(new)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
             else F.col(c)
             for c in docs.columns
         ]

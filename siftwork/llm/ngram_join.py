@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 
 from siftwork.llm.batches import WordReader, distinct_grams, list_array, random_values, views, with_text_columns
 from siftwork.llm.links import connected
-from siftwork.llm.tables import saved, small_side
+from siftwork.llm.tables import saved, small_side, unused
 from siftwork.operators.skew import salted_join
 
 BUCKET = ["band", "bucket"]
@@ -334,5 +334,6 @@ def keep_first(docs: DataFrame, rule: JoinRule = JoinRule(), key: str = "doc_id"
         return kept
     side = small_side(repeated)
     order = Window.partitionBy(key).orderBy(F.col(text).desc_nulls_last())
-    firsts = kept.join(side, key, "left_semi").withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+    row = unused(docs, "row")
+    firsts = kept.join(side, key, "left_semi").withColumn(row, F.row_number().over(order)).where(F.col(row) == 1).drop(row)
     return kept.join(side, key, "left_anti").unionByName(firsts.select(*kept.columns))

@@ -29,8 +29,11 @@ LEAST_VALUE = 6
 ACCESS = r"(AKIA[A-Z0-9]{16,})"
 HEX = r"([0-9a-f]{24,})"
 
-#: Marks around a match and between its head and value; the same characters in a text are taken for ``_OTHER``.
+#: Marks around a match and between its head and value; while spans are counted, the same characters of a text are taken
+#: for ``_OTHER``, which is as long.
 _MARK, _INNER, _OTHER = "\x01", "\x02", "\x03"
+#: How these characters are written while a text is rewritten, in the order in which they are read back.
+_WRITTEN = ((_MARK, "\x03\x04"), (_INNER, "\x03\x05"), (_OTHER, "\x03\x06"))
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 
 
@@ -41,11 +44,12 @@ class EntropyRule:
     window: int = 20
     hex_limit: float = 3.0
     base64_limit: float = 3.9
-    #: A candidate that one of these matches as a whole is suppressed.
+    #: A candidate that one of these matches as a whole is suppressed. Patterns of a caller should repeat groups possessively
+    #: (``(...)++``): Java repeats other groups by recursion, and a candidate of some thousand parts overflows its stack.
     allow: tuple[str, ...] = (
         r"[A-Z]?[a-z]+=*|[A-Z]+=*",  # a word
         r"[0-9]+",
-        r"[a-z]+([-_/][a-z]+)+|[A-Z]+([-_/][A-Z]+)+",  # words joined by marks
+        r"[a-z]++([-_/][a-z]++)++|[A-Z]++([-_/][A-Z]++)++",  # words joined by marks, however many
         r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",  # UUID
         r"[0-9]{4}-[0-9]{2}-[0-9]{2}.*",  # a date first
         r".*(?i:example|placeholder|xxxx|your[-_]).*",
@@ -230,20 +234,20 @@ def listed(*kinds: str) -> Column:
 
 
 def redacted(text: Column, rule: EntropyRule = EntropyRule(), mask: str = "[SECRET]") -> Column:
-    """The text with the value of every secret replaced by ``mask``. Texts without secrets do not change."""
+    """The text with the value of every secret replaced by ``mask``. No other character changes, control characters included."""
 
     def masked(value: Column, kind: Kind, secret) -> Column:
-        # marks are put back as they were only where nothing is found, so such texts keep every character
         def joined(parts: Column) -> Column:
-            hit = F.exists(F.transform(parts, lambda p, i: _is_match(i) & secret(p)), lambda x: x)
-            new = F.transform(
-                parts,
-                lambda p, i: F.when(
-                    _is_match(i) & secret(p),
-                    F.concat(F.substring_index(p, _INNER, 1), F.lit(mask)) if kind.head else F.lit(mask),
-                ).otherwise(F.replace(p, F.lit(_INNER), F.lit("")) if kind.head else p),
+            return F.array_join(
+                F.transform(
+                    parts,
+                    lambda p, i: F.when(
+                        _is_match(i) & secret(p),
+                        F.concat(F.substring_index(p, _INNER, 1), F.lit(mask)) if kind.head else F.lit(mask),
+                    ).otherwise(F.replace(p, F.lit(_INNER), F.lit("")) if kind.head else p),
+                ),
+                "",
             )
-            return F.when(hit, F.array_join(new, "")).otherwise(value)
 
         return F.when(value.rlike(kind.pattern), let(_parts(value, kind), joined)).otherwise(value)
 
@@ -257,4 +261,15 @@ def redacted(text: Column, rule: EntropyRule = EntropyRule(), mask: str = "[SECR
     def chain(value: Column, rest) -> Column:
         return value if not rest else let(masked(value, *rest[0]), lambda v: chain(v, rest[1:]))
 
-    return let(text, lambda t: chain(t, steps))
+    def written(value: Column) -> Column:
+        for character, code in reversed(_WRITTEN):
+            value = F.replace(value, F.lit(character), F.lit(code))
+        return value
+
+    def read(value: Column) -> Column:
+        for character, code in _WRITTEN:
+            value = F.replace(value, F.lit(code), F.lit(character))
+        return value
+
+    marked = text.rlike("[\x01-\x03]")
+    return F.when(marked, let(written(text), lambda t: read(chain(t, steps)))).otherwise(let(text, lambda t: chain(t, steps)))

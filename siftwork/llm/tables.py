@@ -36,6 +36,14 @@ def read_texts(spark: SparkSession, folder: str, table: str = "documents", key:
     return spark.read.parquet(f"{folder}/{table}.parquet").select(key, F.coalesce("text", F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 #: Rows of a stored side table that may be sent to every executor (a few dozen bytes each).
 BROADCAST_ROWS = 1_000_000
 

@@ -131,6 +131,22 @@ def test_redaction_leaves_clean_texts_alone(docs):
     assert [r["t"] for r in found] == ["a password=[SECRET] b", "clean\x01text", "[SECRET]", "token=abc", ""]
 
 
+@pytest.mark.parametrize("part", ["ab-", "a/", "a_b-", "AB_", "1,", "a.", "x9-", "=", "token="])
+def test_secrets_of_long_chains(docs, part):
+    size = 100_000 if part in ("AB_", "x9-") else 1_000_000  # windows are counted in these
+    text = "see " + part * (size // len(part)) + "ab end"
+    found = secret_scan.with_spans(docs([text])).select(F.size("assign"), F.size("hex"), F.size("entropy")).first()
+    assert tuple(found)[:2] == ((1, 0) if part == "token=" else (0, 0))
+    masked = docs([text]).select(F.length(secret_scan.redacted(F.col("text")))).first()[0]
+    assert masked == len(text) or part in ("token=", "x9-")
+
+
+def test_redaction_keeps_control_characters(docs):
+    texts = ["\x01\x02\x03 password=\x02hunter22 token=hunter22\x01\x03\x04\x05\x06", "\x03\x04 plain \x01"]
+    found = docs(texts).select(secret_scan.redacted(F.col("text")).alias("t")).collect()
+    assert [r["t"] for r in found] == [texts[0].replace("token=hunter22", "token=[SECRET]"), texts[1]]
+
+
 # -- near copies and passages --------------------------------------------------------------------------------
 
 
