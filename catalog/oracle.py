@@ -9,7 +9,7 @@ from catalog.queries import HEADS, MINHASH
 from siftwork.functions import html, pii
 from siftwork.functions import urls as U
 from siftwork.functions.hashing import PRIME, SEED, minhash_family
-from siftwork.functions.text import PLAIN_TOKEN, WS_CHARS, WS_CLASS
+from siftwork.functions.text import WS_CHARS, WS_CLASS
 from siftwork.operators import classifiers as C
 from siftwork.operators import language as L
 from siftwork.operators import tokens as K
@@ -108,7 +108,9 @@ def _single_mask(mask_sql, mask: str) -> str:
 
 def measured(source: str, text: str, name: str = "measured") -> list[str]:
     clitic = q(r"(?i)(n't|'(?:s|m|d|ll|re|ve))([^\p{L}\p{N}_]|$)")
-    token = rf"'(?i:s|m|d|ll|re|ve)\b|{PLAIN_TOKEN}"
+    word = r"[\p{L}\p{M}\p{N}_]"
+    plain = rf"\.\.\.|{word}+(?:['./-]{word}+|[,:]\p{{N}}{word}*)*|[^{WS_CLASS}]"
+    token = rf"'(?i:s|m|d|ll|re|ve)\b|{plain}"
     return [
         f"tokenized AS (SELECT *, regexp_extract_all(regexp_replace({text}, {clitic}, ' \\1\\2', 'g'), {q(token)}) AS toks, "
         f"string_split({text}, chr(10)) AS lns FROM {source})",
@@ -369,7 +371,7 @@ TOKENS = [
     *PIECES,
     f"vocab_top AS (SELECT token, count(*) AS n FROM piece_rows GROUP BY token ORDER BY n DESC, token LIMIT {K.MAX_VOCABULARY})",
     "vocab AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 255 AS id FROM vocab_top)",
-    """spelled AS (SELECT token, coalesce([id], list_transform(range(1, strlen(token) * 2, 2),
+    """spelled AS (SELECT token, if(id IS NOT NULL, [id], list_transform(range(1, strlen(token) * 2, 2),
        lambda i: CAST('0x' || substr(hex(encode(token)), i, 2) AS BIGINT))) AS ids
        FROM (SELECT DISTINCT token FROM piece_rows) LEFT JOIN vocab USING (token))""",
     "ids AS (SELECT doc_id, flatten(list(ids ORDER BY pos)) AS l FROM piece_rows JOIN spelled USING (token) GROUP BY doc_id)",
@@ -543,9 +545,9 @@ ORACLE: dict[str, str] = {
             *TOKENS,
             "flat_ids AS (SELECT doc_id, unnest(tokens) AS id, generate_subscripts(tokens, 1) AS pos FROM tokens)",
             "stream AS (SELECT id, row_number() OVER (ORDER BY doc_id, pos) - 1 AS place FROM flat_ids)",
-            f"xs AS (SELECT place // {K.WINDOW} AS seq_id, list(id ORDER BY place) AS x FROM stream GROUP BY 1)",
+            f"xs AS (SELECT place // {K.WINDOW} AS seq_id, list(id ORDER BY place) AS x FROM stream WHERE place + 1 < (SELECT count(*) FROM stream) GROUP BY 1)",
             f"ys AS (SELECT (place - 1) // {K.WINDOW} AS seq_id, list(id ORDER BY place) AS y FROM stream WHERE place > 0 GROUP BY 1)",
         ],
-        f"SELECT seq_id, x, y FROM xs JOIN ys USING (seq_id) WHERE len(x) = {K.WINDOW} AND len(y) = {K.WINDOW}",
+        "SELECT seq_id, x, y FROM xs JOIN ys USING (seq_id)",
     ),
 }

@@ -22,8 +22,10 @@ WS = f"[{WS_CLASS}]+"
 NON_ASCII = r"[^\x00-\x7f]"
 
 #: A token of the quality rules: an ellipsis, a word with inner ' . / - (or , : before a digit), or one symbol.
+#: Quantifiers are possessive: Java then repeats the group in a loop, however long a chain of parts is. A plain ``*`` repeats
+#: it by recursion, and a chain of a few thousand parts would overflow the stack of the executor.
 _W = r"[\p{L}\p{M}\p{N}_]"
-PLAIN_TOKEN = rf"\.\.\.|{_W}+(?:['./-]{_W}+|[,:]\p{{N}}{_W}*)*|[^{WS_CLASS}]"
+PLAIN_TOKEN = rf"\.\.\.|{_W}++(?:['./-]{_W}++|[,:]\p{{N}}{_W}*+)*+|[^{WS_CLASS}]"
 #: English clitics count as tokens of their own; they are set off by a space before tokenizing.
 CLITIC = r"(?i)(n't|'(?:s|m|d|ll|re|ve))(?![\p{L}\p{N}_])"
 TOKEN = rf"'(?i:s|m|d|ll|re|ve)(?![\p{{L}}\p{{N}}_])|{PLAIN_TOKEN}"

@@ -31,7 +31,7 @@ COMMON_SUFFIXES = (
 def host(url: Column) -> Column:
     """Lower-case host without user, port and brackets; empty where there is none."""
     return F.lower(
-        F.regexp_extract(url, r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)*([^/?#@:\[\]]+)", 1)
+        F.regexp_extract(url, r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*+@)*+([^/?#@:\[\]]+)", 1)
     )
 
 

@@ -117,7 +117,7 @@ def pack_sequences(tokenized: DataFrame, offsets: DataFrame, key: str = "doc_id"
     """``(seq_id, x, y)``: consecutive windows of the stream and the same windows shifted by one token.
 
     A document is cut into the pieces of the windows it touches; a window gathers at most ``window + 1`` tokens.
-    The last window is dropped when the stream ends inside it.
+    The stream's last window may be shorter; its arrays then end with the stream.
     """
     placed = tokenized.select(key, "tokens").join(offsets.select(key, "offset"), key)
     first = F.floor(F.greatest(F.col("offset") - 1, F.lit(0)) / window)
@@ -138,6 +138,9 @@ def pack_sequences(tokenized: DataFrame, offsets: DataFrame, key: str = "doc_id"
         pieces.groupBy("seq_id")
         .agg(F.array_sort(F.collect_list(F.struct("at", "part"))).alias("_parts"))
         .select("seq_id", stream.alias("_stream"))
-        .where(F.size("_stream") == window + 1)
-        .select("seq_id", F.slice("_stream", 1, window).alias("x"), F.slice("_stream", 2, window).alias("y"))
+        .where(F.size("_stream") > 1)
+        .select(
+            "seq_id", F.slice("_stream", F.lit(1), F.size("_stream") - 1).alias("x"),
+            F.slice("_stream", F.lit(2), F.size("_stream") - 1).alias("y"),
+        )
     )

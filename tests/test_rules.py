@@ -34,6 +34,13 @@ def test_quality_rules(spark, text, rule):
     assert failed(spark, text) == rule
 
 
+@pytest.mark.parametrize("part", ["ab-", "1,", "a.", "a/", "a_b-", "'s", "n't", "é-"])
+def test_chains_of_a_megabyte(spark, part):
+    text = "see " + part * (1_000_000 // len(part)) + "ab end"
+    measured = rules.with_rule_measures(spark.createDataFrame([(text,)], "text string")).first()
+    assert measured["n_tokens"] > 100_000 if part == "'s" else measured["n_tokens"] < 6
+
+
 def test_length_reasons_and_first_match(spark):
     texts = ["", " \n ", "word " * 49, "word " * 50, "word " * 100_001, "ab " * 100]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, stripped string")
