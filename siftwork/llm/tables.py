@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from siftwork.operators.skew import salted_join
 
 _LOCAL: dict[str, str] = {}
 
@@ -44,10 +47,38 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-#: Rows of a stored side table that may be sent to every executor (a few dozen bytes each).
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a stored side table that may be sent to every executor.
+BROADCAST_BYTES = 32 << 20
+
+
+def value_bytes(value: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes in memory."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value) + 24
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+        size = F.aggregate(value, F.lit(24), lambda s, x: s + value_bytes(x, kind.elementType).cast("int"))
+    elif isinstance(kind, T.ArrayType):
+        size = F.size(value) * 8 + 24
+    elif isinstance(kind, T.StructType):
+        size = sum((value_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size, F.lit(8)).cast("long")
+
+
+def is_small(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a stored table takes at most ``most`` bytes in memory, as summed over its rows."""
+    row = sum((value_bytes(F.col(f.name), f.dataType) for f in df.schema), F.lit(16).cast("long"))
+    return (df.agg(F.sum(row)).first()[0] or 0) <= most
+
+
+def small_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (stored, so that measuring it reads one table) with a broadcast hint if it is small enough, else as it is."""
+    return F.broadcast(df) if is_small(df, most) else df
 
 
-def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (stored, so that counting reads no rows) with a broadcast hint if it is small enough, else as it is."""
-    return F.broadcast(df) if df.count() <= most else df
+def keyed_join(rows: DataFrame, table: DataFrame, keys: list[str], salt_on: Column, how: str = "inner") -> DataFrame:
+    """``rows`` joined with a stored table of unique keys: by broadcast if that is small, else with the rows of hot keys salted."""
+    if is_small(table):
+        return rows.join(F.broadcast(table), keys, how)
+    return salted_join(rows, table, keys, salt_on, how)
