@@ -7,11 +7,9 @@ from __future__ import annotations
 
 from catalog.queries import HEADS, MINHASH
 from siftwork.functions import html, pii
-from siftwork.functions import urls as U
 from siftwork.functions.hashing import PRIME, SEED, minhash_family
 from siftwork.functions.text import WS_CHARS, WS_CLASS
 from siftwork.operators import classifiers as C
-from siftwork.operators import language as L
 from siftwork.operators import tokens as K
 
 
@@ -184,6 +182,43 @@ def score_ctes(name: str, rows: str, model: str, heads: tuple[C.Head, ...], key:
     ]
 
 
+def softmax_ctes(classes: tuple[str, ...], label: str, rounds: int = 10, l2: float = 1e-3, unit: int = 1_000_000, scale: int = 1 << 30) -> list[str]:
+    """Rounds of gradient and step over ``labelled``: the last weights are ``weights``; then the scores of all documents."""
+    k = range(len(classes))
+    number = "CASE " + label + " " + " ".join(f"WHEN {q(c)} THEN {i}" for i, c in enumerate(classes)) + " END"
+    best = "greatest(" + ", ".join(f"z_{i} / (n * {unit})" for i in k) + ")"
+    mass = [f"exp(z_{i} / (n * {unit}) - {best})" for i in k]
+    whole = "(" + " + ".join(mass) + ")"
+    margin = ", ".join(f"sum(c * w_{i})::DOUBLE AS z_{i}" for i in k)
+    steps = [
+        f"softmax_docs AS (SELECT doc_id, text, {number} AS y FROM labelled)",
+        *word_rows("bag_rows", "softmax_docs", "text", "doc_id, y"),
+        "bag AS (SELECT doc_id, y, feature, count(*) AS c FROM bag_rows WHERE y IS NOT NULL GROUP BY ALL)",
+        "known AS (SELECT feature FROM bag GROUP BY feature HAVING sum(c) >= 2 OR feature = '')",
+        "fit_rows AS MATERIALIZED (SELECT b.*, sum(c) OVER (PARTITION BY doc_id)::BIGINT AS n FROM bag b JOIN known USING (feature))",
+        f"fit_0 AS MATERIALIZED (SELECT feature, sum(c * floor({float(scale)}::DOUBLE / n + 0.5)::BIGINT)::BIGINT AS mass, "
+        + ", ".join(f"0::BIGINT AS w_{i}" for i in k) + " FROM fit_rows GROUP BY feature)",
+    ]
+    for r in range(rounds):
+        residual = ", ".join(f"floor(({mass[i]} / {whole} - (y = {i})::INT) * {scale} / n + 0.5)::BIGINT AS r_{i}" for i in k)
+        slope = lambda i: f"(g_{i}::DOUBLE / {scale} + w_{i} * ({l2}::DOUBLE / {unit}))"
+        moved = ", ".join(
+            f"w_{i} - floor({slope(i)} / (mass / (2.0::DOUBLE * {scale}) + {l2}::DOUBLE) * {unit} + 0.5)::BIGINT AS w_{i}" for i in k
+        )
+        steps += [
+            f"margin_{r} AS (SELECT doc_id, y, n, {margin} FROM fit_rows JOIN fit_{r} USING (feature) GROUP BY doc_id, y, n)",
+            f"error_{r} AS (SELECT doc_id, {residual} FROM margin_{r})",
+            f"slope_{r} AS (SELECT feature, {', '.join(f'sum(c * r_{i})::BIGINT AS g_{i}' for i in k)} FROM fit_rows JOIN error_{r} USING (doc_id) GROUP BY feature)",
+            f"fit_{r + 1} AS MATERIALIZED (SELECT feature, mass, {moved} FROM fit_{r} JOIN slope_{r} USING (feature))",
+        ]
+    verdict = " ".join(f"WHEN z_{i} = greatest({', '.join(f'z_{j}' for j in k)}) THEN {q(c)}" for i, c in enumerate(classes))
+    return steps + [
+        *word_rows("all_rows", "documents", "text", "doc_id"),
+        f"all_margins AS (SELECT doc_id, count(*) AS n, {margin.replace('c * ', '')} FROM all_rows JOIN fit_{rounds} USING (feature) GROUP BY doc_id)",
+        f"softmax_scored AS (SELECT doc_id, CASE {verdict} END AS label, round(1 / {whole}, 6) AS score FROM all_margins)",
+    ]
+
+
 LABELLED = [
     """labelled AS (SELECT doc_id, text, CASE quality WHEN 1 THEN 'wiki' WHEN 0 THEN 'cc' END AS quality,
        CASE toxic WHEN 1 THEN 'toxic' WHEN 0 THEN 'non-toxic' END AS toxic FROM documents JOIN labels USING (doc_id))"""
@@ -230,10 +265,55 @@ LENGTH = "('empty', 'too_short', 'too_long')"
 
 # -- language ----------------------------------------------------------------------------------------------
 
-LANG = L.head()
+_FOLD = f"CAST('0x' || substr({order_key(q('fold'), 'doc_id')}, 1, 6) AS INT) % 5"
+_U = f"{C.UNIT}::DOUBLE"
+
+
+def _lang_sums(name: str, rows: str, keep: str = "doc_id") -> list[str]:
+    """A row per text and language: the sum of its weights, known trigrams, all trigrams, and whether it is the likeliest."""
+    return [
+        f"{name}_n AS (SELECT {keep}, count(*) AS n_all FROM {rows} GROUP BY ALL)",
+        f"{name}_s AS (SELECT {keep}, w.lang AS label, sum(w.w)::BIGINT AS s, count(*) AS n_known FROM {rows} r JOIN lang_w w ON w.feature = r.feature GROUP BY {keep}, w.lang)",
+        f"""{name}_c AS MATERIALIZED (SELECT *, max(s) OVER (PARTITION BY doc_id) AS best, s / (n_known * {_U}) AS m,
+            row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, label) = 1 AS first FROM {name}_s JOIN {name}_n USING ({keep}))""",
+    ]
+
+
+def _newton(rounds: int = 8) -> list[str]:
+    steps = ["heat_0 AS (SELECT 2.0::DOUBLE AS t)"]
+    for r in range(rounds):
+        steps += [
+            f"""slope_l{r} AS (SELECT doc_id, sum(e * m) / sum(e) AS x, sum(e * m * m) / sum(e) AS xx, max(m) FILTER (label = truth) AS own
+                FROM (SELECT *, exp((m - max(m) OVER (PARTITION BY doc_id)) * t) AS e FROM heard_c, heat_{r}) GROUP BY doc_id)""",
+            f"""heat_{r + 1} AS MATERIALIZED (SELECT CASE WHEN h > 0 THEN round(least(greatest(t - g / h, t / 4), 4 * t, 200.0), 6) ELSE t END AS t
+                FROM heat_{r}, (SELECT sum(floor((x - own) * 1e9 + 0.5)::BIGINT)::DOUBLE AS g, sum(floor((xx - x * x) * 1e9 + 0.5)::BIGINT)::DOUBLE AS h FROM slope_l{r}))""",
+        ]
+    return [*steps, f"heat AS (SELECT t FROM heat_{rounds})"]
+
+
 LANG_MODEL = [
-    *trigram_rows("lang_rows", "documents", "text", "lang"),
-    *model_ctes("lang_model", "lang_rows", (LANG,), f"lang IN {L.LATIN_LANGUAGES}"),
+    f"folded AS MATERIALIZED (SELECT doc_id, text, lang, {_FOLD} AS fold FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL)",
+    "lang_train AS (SELECT lang, text FROM folded WHERE fold >= 2)",
+    *trigram_rows("lang_rows", "lang_train", "text", "lang"),
+    "lang_n AS MATERIALIZED (SELECT feature, lang, count(*) AS n FROM lang_rows GROUP BY ALL)",
+    "lang_known AS (SELECT feature FROM lang_n GROUP BY feature HAVING sum(n) >= 2 OR feature = '')",
+    """lang_cells AS MATERIALIZED (SELECT k.feature, c.lang, coalesce(n, 0) AS n FROM lang_known k CROSS JOIN (SELECT DISTINCT lang FROM lang_train) c
+       LEFT JOIN lang_n USING (feature, lang))""",
+    """lang_t AS (SELECT lang, sum(n) FILTER (feature <> '') AS t, count(*) FILTER (feature <> '') AS v, sum(n) FILTER (feature = '') AS d,
+       sum(d) OVER () AS docs, count(*) OVER () AS k FROM lang_cells GROUP BY lang)""",
+    f"""lang_w AS MATERIALIZED (SELECT feature, lang, n, CAST(round(CASE WHEN feature = '' THEN ln((n + 1) / (docs + k)) ELSE ln((n + 1) / (t + v)) END * {C.UNIT}) AS BIGINT) AS w,
+       CAST(round(ln(1 / (t + v)) * {C.UNIT}) AS BIGINT) AS floor_w FROM lang_cells JOIN lang_t USING (lang))""",
+    """lang_v AS MATERIALIZED (SELECT lang, any_value(floor_w) AS floor_w, greatest(sum(n * x * x)::DOUBLE / sum(n) / 1e6 - power(sum(n * x)::DOUBLE / sum(n) / 1e3, 2), 0) AS gram_var
+       FROM (SELECT lang, n, floor_w, floor(w / 1000)::BIGINT AS x FROM lang_w WHERE feature <> '') GROUP BY lang)""",
+    # calibration on held-out texts
+    "heard AS (SELECT doc_id, text, lang AS truth FROM folded WHERE fold = 1 AND lang IN (SELECT lang FROM lang_train))",
+    *trigram_rows("heard_rows", "heard", "text", "doc_id, truth"),
+    *_lang_sums("heard", "heard_rows", "doc_id, truth"),
+    *_newton(),
+    f"""usual AS MATERIALIZED (SELECT label, sum(floor(x * 1e6 + 0.5)::BIGINT)::DOUBLE / count(*) / 1e6 AS mean,
+        greatest(sum(floor(x * x * 1e6 + 0.5)::BIGINT)::DOUBLE / count(*) / 1e6 - mean * mean, 0) AS text_var FROM
+        (SELECT label, (s + (n_all - n_known) * floor_w) / (n_all * {_U}) AS x FROM heard_c JOIN lang_v ON lang_v.lang = label WHERE first AND label = truth)
+        GROUP BY label HAVING count(*) >= 5)""",
 ]
 
 
@@ -241,8 +321,11 @@ def lang_of(source: str, text: str = "text") -> list[str]:
     """Texts in other scripts do not occur in the tables; they would all be named by the script rule."""
     return [
         *trigram_rows("asked_rows", source, text, "doc_id"),
-        *score_ctes("lang_scored", "asked_rows", "lang_model", (LANG,)),
-        "languages AS (SELECT doc_id, lang_label AS label, lang_score AS score FROM lang_scored)",
+        *_lang_sums("asked", "asked_rows"),
+        f"asked_p AS (SELECT doc_id, round(1 / sum(exp((s - best) * t / (n_known * {_U}))), 6) AS p FROM asked_c, heat GROUP BY doc_id)",
+        f"""languages AS (SELECT doc_id, label, round(p * CASE WHEN z < 0 THEN exp(z) ELSE 1 END, 6) AS score FROM
+            (SELECT doc_id, c.label, p, ((s + (n_all - n_known) * floor_w) / (n_all * {_U}) - mean) / sqrt(text_var + gram_var / n_all) + 3.0 AS z
+             FROM asked_c c JOIN asked_p USING (doc_id) JOIN lang_v v ON v.lang = c.label LEFT JOIN usual u ON u.label = c.label WHERE first))""",
     ]
 
 
@@ -330,21 +413,36 @@ _URL_RUN = r"\b(?:https?|telnet|gopher|file|wais|ftp):[\p{L}\p{N}_/#~:.?+=&%@!-]
 
 # -- labelled set ------------------------------------------------------------------------------------------
 
-EXAMPLES = [
-    *LABELLED,
-    f"flat_docs AS (SELECT doc_id, quality AS label, {flat('text')} AS flat FROM labelled)",
-    *measured("flat_docs", "flat"),
-    *LANG_MODEL,
-    *lang_of("flat_docs", "flat"),
-    *word_rows("train_rows", "labelled", "text", "toxic"),
-    *model_ctes("model", "train_rows", (C.TOXIC,)),
-    *word_rows("doc_rows", "flat_docs", "flat", "doc_id"),
-    *score_ctes("harm", "doc_rows", "model", (C.TOXIC,)),
-    f"""examples AS (SELECT doc_id, m.label, CASE WHEN flat = '' THEN 'empty' WHEN NOT (l.label = 'en' AND l.score >= 0.7) THEN 'non_english'
+_HARM = [*word_rows("train_rows", "labelled", "text", "toxic"), *model_ctes("model", "train_rows", (C.TOXIC,))]
+
+
+def examples_of(flat_docs: str) -> list[str]:
+    """``examples`` (doc_id, label, reason) of a query that gives doc_id, label and the flattened text."""
+    return [
+        *LABELLED,
+        f"flat_docs AS ({flat_docs})",
+        *measured("flat_docs", "flat"),
+        *LANG_MODEL,
+        *lang_of("flat_docs", "flat"),
+        *_HARM,
+        *word_rows("doc_rows", "flat_docs", "flat", "doc_id"),
+        *score_ctes("harm", "doc_rows", "model", (C.TOXIC,)),
+        f"""examples AS (SELECT doc_id, m.label, CASE WHEN flat = '' THEN 'empty' WHEN NOT (l.label = 'en' AND l.score >= 0.7) THEN 'non_english'
         WHEN m.label = 'wiki' AND {FAILED_RULE} IS NOT NULL THEN 'gopher_rejected'
         WHEN m.label = 'wiki' AND NOT (toxic_label <> 'toxic' AND toxic_score >= 0.7) THEN 'toxic_rejected' END AS reason
         FROM measured m JOIN languages l USING (doc_id) JOIN harm USING (doc_id))""",
-    "usable AS (SELECT doc_id, label FROM examples WHERE reason IS NULL)",
+        "usable AS (SELECT doc_id, label FROM examples WHERE reason IS NULL)",
+    ]
+
+
+EXAMPLES = examples_of(f"SELECT doc_id, quality AS label, {flat('text')} AS flat FROM labelled")
+_FAILURE = """CASE page_id % 20 WHEN 0 THEN 'http_404' WHEN 1 THEN 'http_500' WHEN 2 THEN 'no_http_headers' WHEN 3 THEN 'non_html' WHEN 4 THEN 'errors'
+    WHEN 5 THEN 'empty' END"""
+_PAGE_LABEL = "CASE WHEN page_id % 2 = 0 THEN 'wiki' ELSE 'cc' END"
+#: Pages as responses: those that fail before their text is looked at, then the examples of the others.
+RESPONSES = [
+    *examples_of(f"SELECT page_id AS doc_id, {_PAGE_LABEL} AS label, {flat(extracted('html'))} AS flat FROM pages WHERE {_FAILURE} IS NULL"),
+    f"all_responses AS (SELECT * FROM examples UNION ALL SELECT page_id, {_PAGE_LABEL}, {_FAILURE} FROM pages WHERE {_FAILURE} IS NOT NULL)",
 ]
 
 
@@ -395,6 +493,8 @@ _FUNNEL = " UNION ALL ".join(
     for i, (name, reasons) in enumerate(_STAGES, 1)
 )
 
+_COUNTED, _SEEN = "SELECT label, coalesce(reason, 'kept') AS reason, count(*) AS n", "UNION ALL SELECT label, 'seen', count(*)"
+
 ORACLE: dict[str, str] = {
     "word_count": f"SELECT doc_id, {n_words('text')} AS n_words FROM documents",
     "ws_normalize": f"SELECT doc_id, {flat('text')} AS text_norm FROM documents",
@@ -421,6 +521,9 @@ ORACLE: dict[str, str] = {
     "filter_report_by_source": with_(
         judged_ctes(), f"SELECT CASE WHEN grouping(source) = 1 THEN 'ALL' ELSE source END AS source, {COUNTERS} FROM judged GROUP BY ROLLUP (source)"
     ),
+    "incremental_report": with_(
+        judged_ctes(), f"SELECT CASE WHEN grouping(source) = 1 THEN 'ALL' ELSE source END AS source, {COUNTERS} FROM judged GROUP BY ROLLUP (source)"
+    ),
     "filter_funnel": with_(
         [*judged_ctes(), f"funnel AS ({_FUNNEL})", "rejected AS (SELECT count(*) AS total, count(reason) AS n FROM judged)"],
         "SELECT stage_no, stage, removed, CAST(total - sum(removed) OVER (ORDER BY stage_no) AS BIGINT) AS remaining, "
@@ -451,17 +554,34 @@ ORACLE: dict[str, str] = {
     "ngram_counts": with_(GRAMS, "SELECT doc_id, coalesce(n, 0) AS n_grams FROM documents LEFT JOIN gram_sizes USING (doc_id)"),
     "minhash_signature": with_(SIGNATURES, "SELECT * FROM signature"),
     "lsh_candidates": with_(STARS, "SELECT a, b FROM links"),
-    "jaccard_pairs": with_([*STARS, *jaccard("links", "similar_links")], f"SELECT a, b, round(jaccard, 6) AS jaccard FROM similar_links WHERE jaccard >= {MINHASH.threshold}"),
+    "lsh_buckets": with_(
+        BANDS, "SELECT doc_id, band, min(doc_id) OVER w AS leader, count(*) OVER w AS n FROM bands WINDOW w AS (PARTITION BY band, bucket) QUALIFY n > 1"
+    ),
+    "jaccard_pairs": with_(
+        [*CLUSTERS, "same AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY md5(string_agg(g, chr(30) ORDER BY g))) AS rep FROM grams GROUP BY doc_id)"],
+        f"""SELECT a, b, round(jaccard, 6) AS jaccard FROM similar_pairs JOIN same x ON x.doc_id = a AND x.rep = a
+            JOIN same y ON y.doc_id = b AND y.rep = b WHERE jaccard >= {MINHASH.threshold}
+            UNION ALL SELECT rep, doc_id, 1.0 FROM same WHERE rep <> doc_id""",
+    ),
     "dup_clusters": with_(CLUSTERS, "SELECT doc_id, cluster_id FROM clusters"),
     "fuzzy_dedup": with_(CLUSTERS, "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM clusters WHERE doc_id <> cluster_id)"),
     "html_extract": f"SELECT page_id, {extracted('html')} AS text FROM pages",
     "extract_compare": f"""SELECT page_id, len(f) AS n_full, len(b) AS n_no_nav,
         len(list_distinct(list_intersect(string_split(f, chr(10)), string_split(b, chr(10))))) AS shared_lines
         FROM (SELECT page_id, {extracted('html')} AS f, {extracted('html', ('nav',))} AS b FROM pages)""",
-    "url_domain": f"""SELECT page_id, CASE WHEN h = '' OR regexp_matches(h, '^[0-9]+([.][0-9]+){{3}}$') OR h IN {U.COMMON_SUFFIXES} THEN ''
-        WHEN array_to_string(string_split(h, '.')[-2:], '.') IN {U.COMMON_SUFFIXES} THEN array_to_string(string_split(h, '.')[-3:], '.')
-        WHEN len(string_split(h, '.')) < 2 THEN '' ELSE array_to_string(string_split(h, '.')[-2:], '.') END AS domain
-        FROM (SELECT page_id, rtrim({_HOST}, '.') AS h FROM pages)""",
+    "zip_mismatches": """WITH a AS (SELECT page_id AS k, row_number() OVER (ORDER BY page_id) - 1 AS position FROM pages),
+        b AS (SELECT page_id AS k, row_number() OVER (ORDER BY page_id) - 1 AS position FROM pages WHERE NOT contains(url, '//m.'))
+        SELECT position, a.k AS left_key, b.k AS right_key,
+          CASE WHEN a.k IS NULL THEN NULL WHEN a.k IN (SELECT k FROM b) THEN 'moved' ELSE 'missing' END AS left_status,
+          CASE WHEN b.k IS NULL THEN NULL WHEN b.k IN (SELECT k FROM a) THEN 'moved' ELSE 'missing' END AS right_status
+        FROM a FULL JOIN b USING (position) WHERE a.k IS DISTINCT FROM b.k""",
+    "url_domain": f"""SELECT page_id, regexp_extract(rtrim({_HOST}, '.'), '([^.]+[.](?:com|net|org))$', 1) AS domain FROM pages""",
+    # what each ending gives, written out: the part of the host that is its registered domain
+    "url_domain_rules": f"""SELECT page_id, ending, CASE WHEN ending = 'ck' AND h = 'www' THEN 'www.ck' WHEN tail = 'none' THEN '' WHEN tail = 'own' THEN ending WHEN tail = 'one' THEN h || '.' || ending
+        ELSE 'www.' || h || '.' || ending END AS domain FROM (SELECT page_id, split_part({_HOST}, '.', 1) AS h FROM pages),
+        (VALUES ('co.ke', 'one'), ('com.do', 'one'), ('bar.ck', 'one'), ('www.ck', 'own'), ('ck', 'two'), ('tokyo.jp', 'one'),
+         ('city.kobe.jp', 'own'), ('x.kobe.jp', 'one'), ('co.uk', 'one'), ('nosuchsuffix', 'none'), ('com', 'one'), ('es', 'one'))
+        AS endings(ending, tail)""",
     "valid_urls": with_(CLEAN_URLS, "SELECT url FROM clean"),
     "url_extract": f"""SELECT DISTINCT rtrim(u, '.:?-') AS url FROM (SELECT unnest(regexp_extract_all(
         regexp_extract(replace(html, chr(10), ' ') || ' &lt;ref&gt;' || url || '. &lt;/ref&gt; ' || url, '&lt;ref&gt(.*)&lt;/ref&gt;'),
@@ -477,11 +597,11 @@ ORACLE: dict[str, str] = {
            round(100 * coalesce(sum(len(text)) FILTER (label = 'en' AND score >= 0.7), 0) / sum(len(text)), 6) AS kept_percent
            FROM documents JOIN languages USING (doc_id)""",
     ),
-    "langid_confusion": with_(LANGUAGES, "SELECT lang, label, count(*) AS n FROM languages JOIN documents USING (doc_id) GROUP BY lang, label"),
+    "langid_confusion": with_(LANGUAGES, f"SELECT lang, label, count(*) AS n FROM languages JOIN documents USING (doc_id) WHERE {_FOLD} = 0 GROUP BY lang, label"),
     "threshold_curve": with_(
-        LANGUAGES,
+        [*LANGUAGES, f"judged_langs AS (SELECT doc_id, label, score, lang FROM languages JOIN documents USING (doc_id) WHERE {_FOLD} = 0)"],
         """SELECT least(floor(score * 20), 19)::INTEGER AS bucket, count(*) FILTER (label = lang) AS n_right, count(*) FILTER (label <> lang) AS n_wrong,
-           round(least(floor(score * 20), 19) / 20, 6) AS from_score FROM languages JOIN documents USING (doc_id) GROUP BY 1, 4""",
+           round(least(floor(score * 20), 19) / 20, 6) AS from_score FROM judged_langs GROUP BY 1, 4""",
     ),
     "langid_review_sample": with_(
         [*SAMPLED_POOL, *LANG_MODEL, *lang_of("sampled")],
@@ -495,12 +615,17 @@ ORACLE: dict[str, str] = {
         [*trained((C.QUALITY,)), *word_rows("doc_rows", "documents", "text", "doc_id"), *score_ctes("scored", "doc_rows", "model", (C.QUALITY,))],
         "SELECT doc_id, quality_label AS label, quality_score AS score FROM scored",
     ),
+    "train_quality_lr": with_([*LABELLED, *softmax_ctes(C.QUALITY.classes, "quality")], "SELECT doc_id, label, score FROM softmax_scored"),
     "toxicity_score": with_(_toxic_scores("documents"), "SELECT doc_id, toxic_label AS label, toxic_score AS score FROM scored"),
     "confident_clean": with_(
         _toxic_scores("documents"),
         "SELECT doc_id, toxic_label AS label, toxic_score AS score FROM scored WHERE toxic_label <> 'toxic' AND toxic_score >= 0.7",
     ),
-    "build_stats": with_(EXAMPLES, "SELECT label, coalesce(reason, 'kept') AS reason, count(*) AS n FROM examples GROUP BY 1, 2"),
+    "build_stats": with_(EXAMPLES, f"{_COUNTED} FROM examples GROUP BY 1, 2 {_SEEN} FROM examples GROUP BY 1"),
+    "response_stats": with_(RESPONSES, f"{_COUNTED} FROM all_responses GROUP BY 1, 2 {_SEEN} FROM all_responses GROUP BY 1"),
+    "response_quarantine": f"""SELECT page_id AS doc_id, {_PAGE_LABEL} AS label, coalesce({_FAILURE}, 'empty') AS reason, page_id % 20 = 4 AS failed
+        FROM pages WHERE {_FAILURE} IS NOT NULL OR {flat(extracted('html'))} = ''""",
+    "build_set_from_responses": with_([*RESPONSES, *balanced("usable")], "SELECT doc_id, label, split FROM split_set"),
     "balanced_set": with_(BUILT, "SELECT doc_id, label FROM balanced"),
     "train_valid_split": with_([*LABELLED, "raw AS (SELECT doc_id, CASE quality WHEN 1 THEN 'wiki' ELSE 'cc' END AS label FROM labels)", *balanced("raw")], "SELECT doc_id, label, split FROM split_set"),
     "build_quality_set": with_(BUILT, "SELECT doc_id, label, split FROM split_set"),

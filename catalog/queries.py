@@ -14,15 +14,18 @@ from siftwork.operators import classifiers as C
 from siftwork.operators import exact_duplicates as X
 from siftwork.operators import language as L
 from siftwork.operators import near_duplicates as N
-from siftwork.operators import reports, rules, sampling
+from siftwork.operators import domains, reports, rules, sampling
 from siftwork.operators import tokens as K
+from siftwork.operators.positions import zip_by_position
+from siftwork.operators.softmax import softmax_scores, train_softmax
 from siftwork.plans import curate as P
 from siftwork.plans import english
 from siftwork.plans import quality_model as Q
 from siftwork.plans import sequences
-from siftwork.session import materialize
-from siftwork.sources import files
+from siftwork.session import materialize, scratch_path
+from siftwork.sources import files, warc
 from siftwork.sources.tables import read_table, spread
+from siftwork.streaming.incremental import curate_incrementally, streamed_report
 
 MINHASH = N.MinHashParameters(num_hashes=40, num_bands=10, ngrams=5, threshold=0.8)
 LABEL_NAMES = {"quality": ("cc", "wiki"), "toxic": ("non-toxic", "toxic")}
@@ -55,8 +58,17 @@ def judged(spark: SparkSession, sf: str) -> DataFrame:
     return P.judge(documents(spark, sf, "doc_id", "text", "source"), models(spark, sf), keep=("source",))
 
 
-def language_model(spark: SparkSession, sf: str) -> DataFrame:
-    return L.train_languages(documents(spark, sf, "text", "lang"))
+def language_model(spark: SparkSession, sf: str) -> L.LanguageModel:
+    """Trained on three folds of the documents, calibrated on one; the last is left for evaluation."""
+    docs = documents(spark, sf, "doc_id", "text", "lang").withColumn("fold", L.fold("doc_id"))
+    model = L.train_languages(docs.where(~F.col("fold").isin(L.EVALUATION, L.CALIBRATION)))
+    return L.calibrate(model, docs.where(F.col("fold") == L.CALIBRATION))
+
+
+def held_out_languages(spark: SparkSession, sf: str) -> DataFrame:
+    """``(doc_id, label, score, lang)`` of the documents of the evaluation fold."""
+    docs = documents(spark, sf, "doc_id", "text", "lang").where(L.fold("doc_id") == L.EVALUATION)
+    return L.identify(docs, language_model(spark, sf)).join(docs.select("doc_id", "lang"), "doc_id")
 
 
 def languages(spark: SparkSession, sf: str) -> DataFrame:
@@ -178,6 +190,10 @@ def lsh_candidates(spark, sf):
     return N.candidate_links(documents(spark, sf), MINHASH)
 
 
+def lsh_buckets(spark, sf):
+    return N.lsh_buckets(documents(spark, sf), MINHASH)
+
+
 def jaccard_pairs(spark, sf):
     links = N.verified_links(documents(spark, sf), MINHASH)
     return links.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
@@ -211,8 +227,30 @@ def extract_compare(spark, sf):
     )
 
 
+def zip_mismatches(spark, sf):
+    """Pages against those of them that are not on a mobile host, both by page; where the same position holds another page."""
+    left = pages(spark, sf, "page_id", "url")
+    found = zip_by_position(left, left.where("NOT contains(url, '//m.')"), "page_id", ["page_id"])
+    return found.where("NOT (left_status <=> 'equal' AND right_status <=> 'equal')")
+
+
 def url_domain(spark, sf):
-    return pages(spark, sf, "page_id", "url").select("page_id", U.registered_domain(F.col("url")).alias("domain"))
+    found = domains.with_registered_domain(pages(spark, sf, "page_id", "url"), domains.suffixes(spark))
+    return found.select("page_id", "domain")
+
+
+#: Hosts of the tables are moved below these endings, which need every kind of rule.
+ENDINGS = ("co.ke", "com.do", "bar.ck", "www.ck", "ck", "tokyo.jp", "city.kobe.jp", "x.kobe.jp", "co.uk", "nosuchsuffix", "com", "es")
+
+
+def url_domain_rules(spark, sf):
+    """Registered domains of the pages' hosts as they would be below other public suffixes."""
+    first = F.get(F.split(U.host(F.col("url")), r"\."), F.lit(0))
+    moved = pages(spark, sf, "page_id", "url").select(
+        "page_id", first.alias("_first"), F.explode(F.array(*[F.lit(e) for e in ENDINGS])).alias("ending")
+    )
+    hosts = moved.select("page_id", "ending", F.concat(F.lit("https://www."), "_first", F.lit("."), "ending", F.lit("/")).alias("url"))
+    return domains.with_registered_domain(hosts, domains.suffixes(spark)).select("page_id", "ending", "domain")
 
 
 def valid_urls(spark, sf):
@@ -256,18 +294,22 @@ def english_text_share(spark, sf):
 
 
 def langid_confusion(spark, sf):
-    truth = read_table(spark, sf, "documents", ["doc_id", "lang"])
-    return reports.confusion(languages(spark, sf).join(truth, "doc_id"), "lang", "label")
+    return reports.confusion(held_out_languages(spark, sf), "lang", "label")
 
 
 def threshold_curve(spark, sf):
-    truth = read_table(spark, sf, "documents", ["doc_id", "lang"])
-    found = languages(spark, sf).join(truth, "doc_id")
+    found = held_out_languages(spark, sf)
     return reports.threshold_curve(found, F.col("score"), F.col("label") == F.col("lang"))
 
 
-def langid_review_sample(spark, sf):
+def review_pool(spark: SparkSession, sf: str) -> DataFrame:
+    """20 of the first 500 documents, without blank ones; fails if there are not as many."""
     pool = sampling.pool_sample(documents(spark, sf), "doc_id", 500, 20, T.strip(F.col("text")) != "")
+    return sampling.require_rows(pool, 20, "fewer than 20 texts in the pool")
+
+
+def langid_review_sample(spark, sf):
+    pool = review_pool(spark, sf)
     found = L.identify(pool, language_model(spark, sf))
     return pool.join(F.broadcast(found), "doc_id").select("doc_id", "rank", "label", "score", T.excerpt(F.col("text")).alias("excerpt"))
 
@@ -297,12 +339,61 @@ def confident_clean(spark, sf):
 
 
 def train_quality_lr(spark, sf):
-    classify = C.train_logistic(labelled(spark, sf), "quality", C.QUALITY.classes)
-    return classify(documents(spark, sf)).select("doc_id", F.col("quality_label").alias("label"), F.col("quality_score").alias("score"))
+    model = train_softmax(labelled(spark, sf), "quality", C.QUALITY.classes)
+    return softmax_scores(documents(spark, sf), model)
 
 
 def build_stats(spark, sf):
-    return reports.reason_counts(examples(spark, sf).fillna("kept", ["reason"]), "label")
+    return Q.build_statistics(examples(spark, sf))
+
+
+def responses(spark: SparkSession, sf: str) -> DataFrame:
+    """``(doc_id, label, status, content_type, body)``: the pages as a crawl would deliver them, with every kind of failure.
+
+    Of twenty consecutive pages one each is not found, fails, lacks HTTP headers, is a PDF, declares a charset that is none, and
+    has no body text.
+    """
+    kind = F.col("page_id") % 20
+    status = F.when(kind == 0, "404 Not Found").when(kind == 1, "500 Failure").otherwise("200 OK")
+    sent = F.when(kind == 3, "application/pdf").otherwise("Text/HTML; charset=utf-8")
+    head = F.when(kind == 2, "").otherwise(F.concat(F.lit("HTTP/1.1 "), status, F.lit("\r\nContent-Type: "), sent, F.lit("\r\n\r\n")))
+    page = F.when(kind == 5, F.lit("<html><body> </body></html>")).otherwise(F.col("html"))
+    body = F.when(kind == 4, F.concat(F.encode(F.lit("<meta charset=hex>"), "UTF-8"), F.unhex(F.lit("FF")))).otherwise(F.encode(page, "UTF-8"))
+    label = F.when(F.col("page_id") % 2 == 0, Q.POSITIVE).otherwise(Q.NEGATIVE)
+    records = pages(spark, sf).select(
+        F.col("page_id").alias("doc_id"), label.alias("label"), F.concat(F.encode(head, "UTF-8"), body).alias("payload")
+    )
+    return warc.with_http_fields(records)
+
+
+def response_examples(spark: SparkSession, sf: str) -> DataFrame:
+    harm = C.train(labelled(spark, sf).drop("quality"), (C.TOXIC,), C.WORDS)
+    found, _ = Q.examples_of_responses(responses(spark, sf), language_model(spark, sf), harm, (C.TOXIC,), "doc_id")
+    return found
+
+
+def response_stats(spark, sf):
+    return Q.build_statistics(response_examples(spark, sf))
+
+
+def response_quarantine(spark, sf):
+    """The responses that are not used, each with its reason, and whether reading it failed."""
+    bad = Q.quarantine(Q.responses_to_texts(responses(spark, sf)), "label").bad
+    return bad.select("doc_id", "label", "reason", F.col("error").isNotNull().alias("failed"))
+
+
+def build_set_from_responses(spark, sf):
+    return Q.build_set(response_examples(spark, sf))
+
+
+def incremental_report(spark, sf):
+    """The report of a stream over the documents in several micro-batches, one of them run again."""
+    source, output = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
+    read_table(spark, sf, "documents", ["doc_id", "text", "source"]).repartition(6, "doc_id").write.parquet(source)
+    trained = models(spark, sf)
+    for attempt in ("first", "again"):  # a new checkpoint sees all files again, as after a lost one
+        curate_incrementally(spark, source, output, f"{output}/checkpoint-{attempt}", trained, files_per_batch=2, input_format="parquet")
+    return streamed_report(spark, output)
 
 
 def balanced_set(spark, sf):
@@ -335,23 +426,24 @@ def quality_eval(spark, sf):
 
 def sample_kept(spark, sf):
     kept = P.judge(documents(spark, sf), models(spark, sf)).where("reason is null")
-    return sampling.seeded_sample(kept, "doc_id", 5).select("doc_id", "rank")
+    return sampling.require_rows(sampling.seeded_sample(kept, "doc_id", 5).select("doc_id", "rank"), 5, "fewer than 5 kept documents")
 
 
 def sample_rejected(spark, sf):
     """100 random candidates are judged, and the first five rejected ones shown."""
     candidates = sampling.seeded_sample(documents(spark, sf), "doc_id", 100).drop("rank")
     refused = P.judge(candidates, models(spark, sf)).where("reason is not null").select("doc_id", "reason")
-    return sampling.seeded_sample(refused, "doc_id", 5, seed=sampling.SEED + 1)
+    sample = sampling.seeded_sample(refused, "doc_id", 5, seed=sampling.SEED + 1)
+    return sampling.require_rows(sample, 5, "fewer than 5 rejected documents among the candidates")
 
 
 def quality_review_sample(spark, sf):
-    pool = sampling.pool_sample(documents(spark, sf), "doc_id", 500, 20, T.strip(F.col("text")) != "")
+    pool = review_pool(spark, sf)
     return rules.with_rule_measures(pool).select("doc_id", "rank", rules.failed_rule().isNull().alias("passed"))
 
 
 def harm_review_sample(spark, sf):
-    pool = sampling.pool_sample(documents(spark, sf), "doc_id", 500, 20, T.strip(F.col("text")) != "")
+    pool = review_pool(spark, sf)
     model = C.train(labelled(spark, sf), (C.TOXIC,), C.WORDS)
     found = C.scores(pool, model, (C.TOXIC,), C.WORDS)
     return pool.select("doc_id", "rank").join(found, "doc_id").select(
@@ -400,10 +492,11 @@ QUERIES: dict[str, Query] = {
         word_count, ws_normalize, normalize_text, length_filter, pii_mask_all, pii_hits, quality_rules,
         quality_filter, rejection_reason, filter_report, filter_report_by_source, filter_funnel, baseline_vs_final,
         curate_documents, exact_line_dedup, exact_doc_dedup, exact_dedup_report, ngram_counts, minhash_signature,
-        lsh_candidates, jaccard_pairs, dup_clusters, fuzzy_dedup, html_extract, extract_compare, url_domain,
+        lsh_candidates, lsh_buckets, jaccard_pairs, dup_clusters, fuzzy_dedup, html_extract, extract_compare, zip_mismatches, url_domain, url_domain_rules,
         valid_urls, url_extract, url_sample, manifest_chunks, lang_id, english_filter, english_text_share,
         langid_confusion, threshold_curve, langid_review_sample, train_quality_nb, confident_clean, quality_eval,
-        train_quality_lr, build_quality_set, build_stats, balanced_set, train_valid_split, labelled_lines,
+        train_quality_lr, build_quality_set, build_stats, response_stats, response_quarantine, build_set_from_responses,
+        incremental_report, balanced_set, train_valid_split, labelled_lines,
         sample_kept, sample_rejected, quality_review_sample, harm_review_sample, tokenize_docs, detokenize_docs, token_offsets,
         token_report, pack_sequences,
     )

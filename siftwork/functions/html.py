@@ -22,32 +22,47 @@ ITEM = "  • "
 _LINE, _PARAGRAPH, _ITEM = "\x01", "\x02", "\x04"
 
 
-def decode_html(body: Column) -> Column:
-    """Strict UTF-8 where the bytes are valid; otherwise the declared charset (or windows-1252), ignoring errors."""
+def try_decode_html(body: Column) -> Column:
+    """``struct(text, error)``: strict UTF-8 where the bytes are valid; otherwise the declared charset, ignoring errors.
 
-    @F.pandas_udf("string")
-    def by_declared_charset(batch: pd.Series) -> pd.Series:
+    A charset nobody knows counts as windows-1252. One that is known but cannot turn these bytes into text gives no text and the
+    message as ``error``; it does not fail the job.
+    """
+
+    @F.pandas_udf("text string, error string")
+    def by_declared_charset(batch: pd.Series) -> pd.DataFrame:
         import codecs
         import re
 
+        import pandas as pd
+
         declared = re.compile(rb"charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:-]+)", re.I)
 
         def decode(raw):
             if raw is None:
-                return None
+                return None, None
             found = declared.search(bytes(raw))
             name = found.group(1).decode("ascii") if found else "windows-1252"
             try:
                 codecs.lookup(name)
             except LookupError:
                 name = "windows-1252"
-            return bytes(raw).decode(name, errors="ignore")
+            try:
+                return bytes(raw).decode(name, errors="ignore"), None
+            except Exception as error:
+                return None, f"{type(error).__name__}: {error}"[:200]
 
-        return batch.map(decode)
+        return pd.DataFrame([decode(raw) for raw in batch], columns=["text", "error"], dtype=object)
 
     valid = F.is_valid_utf8(body.cast("string"))
     # the helper receives null for every valid page, so only the others are copied to Python
-    return F.coalesce(F.when(valid, body.cast("string")), by_declared_charset(F.when(~valid, body)))
+    other = by_declared_charset(F.when(~valid, body))
+    return F.struct(F.coalesce(F.when(valid, body.cast("string")), other["text"]).alias("text"), other["error"].alias("error"))
+
+
+def decode_html(body: Column) -> Column:
+    """The text of :func:`try_decode_html`; null for bytes that cannot be decoded."""
+    return try_decode_html(body)["text"]
 
 
 def unescape(text: Column) -> Column:

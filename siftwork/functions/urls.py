@@ -1,9 +1,7 @@
-"""URL functions: validity, registered domain, extraction from wiki references."""
+"""URL functions: host, validity, extraction from wiki references."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,19 +13,6 @@ URL = (
 )
 REFERENCE = r"&lt;ref&gt(.*)&lt;/ref&gt;"
 
-#: Public suffixes of two labels that are common on the web; pass a longer list where it matters.
-COMMON_SUFFIXES = (
-    "ac.at", "ac.jp", "ac.nz", "ac.uk", "ac.za", "asn.au", "co.at", "co.id", "co.il", "co.in", "co.jp", "co.kr",
-    "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.co", "com.eg", "com.es",
-    "com.hk", "com.mx", "com.my", "com.ng", "com.pe", "com.ph", "com.pk", "com.pl", "com.pt", "com.sa", "com.sg",
-    "com.tr", "com.tw", "com.ua", "com.uy", "com.ve", "com.vn", "edu.au", "edu.br", "edu.cn", "edu.hk", "edu.mx",
-    "edu.pl", "edu.sg", "edu.tw", "go.jp", "go.kr", "gob.ar", "gob.mx", "gov.au", "gov.br", "gov.cn", "gov.in",
-    "gov.uk", "gov.za", "gr.jp", "ltd.uk", "me.uk", "ne.jp", "net.au", "net.br", "net.cn", "net.nz", "net.uk",
-    "nhs.uk", "or.jp", "or.kr", "org.au", "org.br", "org.cn", "org.in", "org.mx", "org.nz", "org.pl", "org.tw",
-    "org.uk", "org.za", "plc.uk", "sch.uk",
-)
-
-
 def host(url: Column) -> Column:
     """Lower-case host without user, port and brackets; empty where there is none."""
     return F.lower(
@@ -35,23 +20,6 @@ def host(url: Column) -> Column:
     )
 
 
-def registered_domain(url: Column, suffixes: Sequence[str] = COMMON_SUFFIXES) -> Column:
-    """Public suffix plus one label; ``""`` for an empty URL, an address or a single label.
-
-    A host whose last two labels are not in ``suffixes`` has a one-label suffix.
-    """
-    name = F.rtrim(host(url), F.lit("."))
-    long_suffix = "|".join(s.replace(".", r"\.") for s in sorted(suffixes))
-    long_form = F.regexp_extract(name, rf"([^.]+\.(?:{long_suffix}))$", 1)
-    short_form = F.regexp_extract(name, r"([^.]+\.[^.]+)$", 1)
-    return (
-        F.when(url.isNull() | (name == "") | name.rlike(r"^[0-9]+(\.[0-9]+){3}$"), "")
-        .when(name.isin(*suffixes), "")
-        .when(long_form != "", long_form)
-        .otherwise(short_form)
-    )
-
-
 def is_valid_url(url: Column) -> Column:
     """Scheme http or https and a network location with a dot; unbalanced brackets are malformed."""
     netloc = F.regexp_extract(url, r"(?i)^https?://([^/?#]*)", 1)

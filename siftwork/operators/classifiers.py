@@ -121,13 +121,17 @@ def score_sums(
     keep: list[str],
     text: str = "text",
     when: Column | None = None,
+    unknown: bool = False,
 ) -> DataFrame:
-    """Sums of weights per document. ``keep`` (the key and small columns derived from the row) rides along as
-    grouping key, so nothing has to be joined back; only these sums leave the map tasks."""
+    """Sums of weights per document, and ``_n``, its known features. ``keep`` (the key and small columns derived from the
+    row) rides along as grouping key, so nothing has to be joined back; only these sums leave the map tasks. With
+    ``unknown``, ``_all`` counts all features."""
     wanted = [h.weight(i) for h in heads for i in range(len(h.classes))]
     found = features.explode(df, text, *keep, when=when)
-    known = lookup_join(found, model.select("feature", *wanted), ["feature"], F.col(keep[0]))
-    return known.groupBy(*keep).agg(*[F.expr(f"sum({w}) AS {w}") for w in wanted], F.count(F.lit(1)).alias("_n"))
+    known = lookup_join(found, model.select("feature", *wanted), ["feature"], F.col(keep[0]), "left" if unknown else "inner")
+    sums = [F.expr(f"sum({w}) AS {w}") for w in wanted]
+    counts = [F.count(wanted[0]).alias("_n"), F.count(F.lit(1)).alias("_all")]
+    return known.groupBy(*keep).agg(*sums, *counts[:1 + unknown])
 
 
 def scores(
@@ -153,7 +157,7 @@ def verdicts(heads: tuple[Head, ...]) -> list[Column]:
 
 def _verdict(h: Head) -> list[Column]:
     sums = [h.weight(i) for i in range(len(h.classes))]
-    best = f"greatest({', '.join(sums)})"
+    best = f"greatest({', '.join(sums)})" if len(sums) > 1 else sums[0]
     label = " ".join(f"WHEN {s} = {best} THEN '{c}'" for s, c in zip(sums, h.classes, strict=True))
     mass = " + ".join(f"exp(({s} - {best}) * {h.sharpness}D / (_n * {UNIT}D))" for s in sums)
     return [F.expr(f"CASE {label} END AS {h.label}_label"), F.expr(f"round(1 / ({mass}), 6) AS {h.label}_score")]
@@ -177,37 +181,3 @@ def with_named_labels(df: DataFrame, names: Mapping[str, tuple[str, str]]) -> Da
     return df.withColumns(
         {c: F.when(F.col(c) == 1, one).when(F.col(c) == 0, zero) for c, (zero, one) in names.items()}
     )
-
-
-def train_logistic(df: DataFrame, label: str, classes: tuple[str, ...], text: str = "text", dims: int = 1 << 16):
-    """Hashed words and word pairs with logistic regression, the closer relative of a linear softmax model.
-
-    Returns a function that adds ``<label>_label`` and ``<label>_score`` to documents.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
-
-    def featurize(docs: DataFrame) -> DataFrame:
-        prepared = docs.withColumn("_prepared", WORDS.prepare(F.col(text)))
-        return prepared.withColumn("_features", WORDS.expand(F.col("_prepared"))).drop("_prepared")
-
-    names = F.array(*[F.lit(c) for c in classes])
-    stages = [
-        HashingTF(inputCol="_features", outputCol="_tf", numFeatures=dims),
-        Normalizer(inputCol="_tf", outputCol="_unit"),
-        LogisticRegression(featuresCol="_unit", labelCol="_class", maxIter=10, regParam=1e-3),
-    ]
-    target = (F.array_position(names, F.col(label)) - 1).cast("double")
-    model = Pipeline(stages=stages).fit(featurize(df).withColumn("_class", target).where("_class >= 0"))
-
-    def apply(docs: DataFrame) -> DataFrame:
-        return model.transform(featurize(docs)).withColumns(
-            {
-                f"{label}_label": F.element_at(names, F.col("prediction").cast("int") + 1),
-                f"{label}_score": F.round(F.array_max(vector_to_array("probability")), 6),
-            }
-        ).drop("_features", "_tf", "_unit", "rawPrediction", "probability", "prediction")
-
-    return apply

@@ -9,9 +9,10 @@ Pairs of a bucket are never enumerated. The clusters are found in three exact st
 2. In every bucket, each representative is compared with the smallest one only (a star). The links found this way
    are turned into components. A bucket whose members are then all in one component is finished: no further link
    inside it could change a cluster.
-3. In the buckets left, every link between two different components has at least one end outside the component of
-   the bucket's smallest member. So those outsiders, and only they, are compared with the whole bucket, in salted
-   pieces. This completes the result for any bucket size.
+3. The members of the buckets left go through a set-similarity join on their rarest grams (:mod:`similarity_join`), which
+   finds all similar pairs between different components; those that share a bucket are links.
+
+The list of all links is the same join over all representatives that share a bucket.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from siftwork.functions import text as T
 from siftwork.functions.hashing import PRIME, SEED, base_hash, gram_id, minhash_family
 from siftwork.operators.components import components
+from siftwork.operators.similarity_join import candidate_pairs
 from siftwork.operators.skew import salted_join
 from siftwork.session import materialize
 
@@ -155,43 +157,30 @@ def _star_pairs(buckets: DataFrame) -> DataFrame:
     return buckets.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
 
 
-def _outsider_pairs(
-    buckets: DataFrame, labels: DataFrame, grams: DataFrame, p: MinHashParameters
-) -> DataFrame | None:
-    """Pairs still to compare after the stars: members outside the first member's component against their bucket.
+def _bucket_sets(buckets: DataFrame) -> DataFrame:
+    """``(rep, places)``: the buckets of a representative as one array of their hashes."""
+    return buckets.groupBy("rep").agg(F.collect_set(F.xxhash64(*BUCKET)).alias("places"))
 
-    None when every bucket is finished.
-    """
-    sizes = grams.select("rep", "n_grams")
+
+def _sharing_a_bucket(pairs: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The pairs ``(a, b, …)`` whose ends share a bucket."""
+    places = materialize(_bucket_sets(buckets))
+    left = places.select(F.col("rep").alias("a"), F.col("places").alias("_pa"))
+    right = places.select(F.col("rep").alias("b"), F.col("places").alias("_pb"))
+    met = salted_join(salted_join(pairs, left, ["a"], F.col("b")), right, ["b"], F.col("a"))
+    return met.where(F.arrays_overlap("_pa", "_pb")).drop("_pa", "_pb")
+
+
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """``(rep, component)`` of the members of buckets that still hold several components; None when there are none."""
     node = labels.select(F.col("node").alias("rep"), "component")
-    labelled = (
-        buckets.join(node, "rep", "left").withColumn("component", F.coalesce("component", "rep")).join(sizes, "rep")
-    )
-    mixed = (
-        labelled.groupBy(*BUCKET)
-        .agg(
-            F.min("component").alias("_lo"), F.max("component").alias("_hi"),
-            F.max(F.when(F.col("rep") == F.col("first"), F.col("component"))).alias("_main"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .where("_lo <> _hi")
-        .select(*BUCKET, "_main", "n")
-    )
-    active = salted_join(labelled, mixed.drop("n"), BUCKET, F.col("rep"), counts=mixed)
-    active = materialize(active)
-    if active.isEmpty():
-        return None
-    outside = active.where("component <> _main").select(
-        *BUCKET, F.col("rep").alias("_o"), F.col("component").alias("_oc"), F.col("n_grams").alias("_on")
-    )
-    pairs = salted_join(
-        active.where("rep <> first"), outside, BUCKET, F.col("rep"), counts=mixed
-    ).where(
-        # other component, and sizes that can reach the threshold at all
-        (F.col("component") != F.col("_oc"))
-        & (F.least("n_grams", "_on") >= F.lit(p.threshold) * F.greatest("n_grams", "_on"))
-    )
-    return pairs.select(F.least("rep", "_o").alias("a"), F.greatest("rep", "_o").alias("b")).distinct()
+    labelled = materialize(buckets.join(node, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    mixed = labelled.groupBy(*BUCKET).agg(
+        F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("n")
+    ).where("_lo <> _hi").select(*BUCKET, "n")
+    active = salted_join(labelled, mixed.drop("n"), BUCKET, F.col("rep"), "left_semi", counts=mixed)
+    active = materialize(active.select("rep", "component").distinct())
+    return None if active.isEmpty() else active
 
 
 def _clusters(df: DataFrame, p: MinHashParameters, key: str, text: str) -> tuple[_Prepared, DataFrame]:
@@ -202,9 +191,11 @@ def _clusters(df: DataFrame, p: MinHashParameters, key: str, text: str) -> tuple
         return _jaccard(pairs, prepared.grams).where(F.col("jaccard") >= p.threshold).select("a", "b")
 
     labels = components(links(_star_pairs(prepared.buckets)), "a", "b")
-    pairs = _outsider_pairs(prepared.buckets, labels, prepared.grams, p)
-    if pairs is not None:
-        more = materialize(links(pairs))
+    active = _mixed(prepared.buckets, labels)
+    if active is not None:
+        sets = prepared.grams.join(active, "rep")
+        pairs = materialize(candidate_pairs(sets, p.threshold, "component"))
+        more = materialize(links(_sharing_a_bucket(pairs, prepared.buckets)))
         if not more.isEmpty():
             known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
             labels = components(known.union(more), "a", "b")
@@ -225,16 +216,30 @@ def candidate_links(
     return met.where(F.col(key) != F.col("first")).select(F.col("first").alias("a"), F.col(key).alias("b")).distinct()
 
 
+def lsh_buckets(df: DataFrame, p: MinHashParameters, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, band, leader, n)``: the bucket of a document in each band that it shares with others.
+
+    A bucket is named by its smallest document, so all candidate pairs are in the result, as membership instead of as rows.
+    """
+    bands = materialize(band_rows(signatures(with_grams(df.select(key, text), p.ngrams, text), p, [key]), p, key))
+    shared = bands.groupBy(*BUCKET).agg(F.min(key).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = salted_join(bands, shared.withColumnRenamed("n", "_size"), BUCKET, F.col(key), counts=shared)
+    return met.select(key, "band", "leader", F.col("_size").alias("n"))
+
+
 def verified_links(
     df: DataFrame, p: MinHashParameters, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The candidate links with the true Jaccard similarity of their gram sets, where it reaches the threshold."""
-    links = materialize(candidate_links(df, p, key, text))
-    linked = links.select(F.explode(F.array("a", "b")).alias(key)).distinct()
-    sets = with_grams(df.select(key, text).join(linked.hint("shuffle_hash"), key, "left_semi"), p.ngrams, text).select(
-        F.col(key).alias("rep"), "grams", F.size("grams").alias("n_grams")
-    )
-    return _jaccard(links, materialize(sets)).where(F.col("jaccard") >= p.threshold)
+    """``(a, b, jaccard)``: every pair that shares a bucket and reaches the threshold, in terms of representatives.
+
+    Of documents with equal gram sets the smallest key stands for all; each copy is a row with its representative and the
+    similarity 1, so copies are not expanded into pairs. The components of the rows are the duplicate clusters.
+    """
+    prepared = _prepare(df, p, key, text)
+    pairs = materialize(candidate_pairs(prepared.grams.select("rep", "grams"), p.threshold))
+    found = materialize(_jaccard(pairs, prepared.grams).where(F.col("jaccard") >= p.threshold))
+    copies = prepared.documents.where("_id <> rep").select(F.col("rep").alias("a"), F.col("_id").alias("b"), F.lit(1.0).alias("jaccard"))
+    return _sharing_a_bucket(found, prepared.buckets).select("a", "b", "jaccard").unionByName(copies)
 
 
 def duplicate_clusters(
@@ -242,9 +247,10 @@ def duplicate_clusters(
 ) -> DataFrame:
     """``(key, cluster_id)`` of every document that has duplicates; ``cluster_id`` is the smallest key."""
     prepared, labels = _clusters(df, p, key, text)
-    named = prepared.documents.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        F.col("_id").alias(key), F.coalesce("component", "rep").alias("cluster_id")
-    )
+    of_rep = prepared.documents.groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
+    named = salted_join(
+        prepared.documents, labels.withColumnRenamed("node", "rep"), ["rep"], F.col("_id"), "left", counts=of_rep
+    ).select(F.col("_id").alias(key), F.coalesce("component", "rep").alias("cluster_id"))
     sizes = named.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return salted_join(named, sizes.drop("n"), ["cluster_id"], F.col(key), "left_semi", counts=sizes).select(
         key, "cluster_id"

@@ -65,6 +65,25 @@ def filter_report_by_source(judged: DataFrame, source: str = "source") -> DataFr
     )
 
 
+def source_counters(judged: DataFrame, source: str = "source") -> DataFrame:
+    """The counters per source, without totals or ratios: rows of several runs can be added up."""
+    return judged.groupBy(source).agg(*_counters())
+
+
+def merged_report(counters: DataFrame, source: str = "source") -> DataFrame:
+    """The report by source from counters of any number of runs; the same as of one run over all their documents."""
+    names = [c for c in counters.columns if c != source]
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]
+    return (
+        counters.withColumn("_source", F.col(source))
+        .rollup("_source")
+        .agg(F.grouping("_source").alias("_all"), *sums)
+        .withColumn(source, F.when(F.col("_all") == 1, "ALL").otherwise(F.col("_source")))
+        .withColumn("keep_ratio", _ratio(F.col("kept"), F.col("total")))
+        .drop("_source", "_all")
+    )
+
+
 def filter_funnel(judged: DataFrame) -> DataFrame:
     """stage_no, stage, removed, remaining and the share of all removals, in pipeline order."""
     removed = [F.count_if(F.col("reason").isin(*reasons)).alias(name) for name, reasons in STAGES]

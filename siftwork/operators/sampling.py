@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwork.functions.hashing import SEED, order_key
+from siftwork.session import materialize
 
 
 def seeded_sample(df: DataFrame, key: str, k: int, seed: int = SEED, rank: str = "rank") -> DataFrame:
@@ -34,10 +35,11 @@ def pool_sample(
 
 
 def require_rows(df: DataFrame, n: int, message: str) -> DataFrame:
-    """Fail when a bounded sample is smaller than asked for."""
-    if df.count() < n:
+    """A bounded sample, stored; fails when it is smaller than asked for."""
+    stored = materialize(df)
+    if stored.count() < n:
         raise RuntimeError(message)
-    return df
+    return stored
 
 
 def balance_classes(

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from siftwork.functions import text as T
 from siftwork.functions.pii import with_masked
-from siftwork.functions.urls import registered_domain
 from siftwork.operators import classifiers as C
-from siftwork.operators import rules
+from siftwork.operators import domains, rules
 
 
 @dataclass(frozen=True)
@@ -63,9 +62,10 @@ def mask_kept(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def curate(
-    docs: DataFrame, models: Models | None, key: str = "doc_id", text: str = "text", judged: DataFrame | None = None
+    docs: DataFrame, models: Models | None, key: str = "doc_id", text: str = "text", judged: DataFrame | None = None,
+    suffixes: domains.Suffixes | None = None,
 ) -> DataFrame:
-    """The kept documents, masked, with ``word_count`` and (if there is a ``url``) ``domain``.
+    """The kept documents, masked, with ``word_count`` and (if there is a ``url``) ``domain`` by the rules of ``suffixes``.
 
     The verdicts are a narrow table; the text is shuffled at most once, to meet them, and not at all when Spark can
     broadcast them. Masking runs on kept documents only. Pass ``judged`` to share verdicts with the reports.
@@ -75,7 +75,7 @@ def curate(
     kept = judged.where("reason is null").select(key)
     result = mask_kept(docs.join(kept.hint("shuffle_hash"), key, "left_semi"), text)
     if "url" in docs.columns:
-        result = result.withColumn("domain", registered_domain(F.col("url")))
+        result = domains.with_registered_domain(result, suffixes or domains.suffixes(docs.sparkSession))
     return result
 
 

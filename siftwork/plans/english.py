@@ -11,14 +11,14 @@ from siftwork.sources.tables import spread
 from siftwork.sources.warc import read_wet
 
 
-def english_documents(docs: DataFrame, model: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def english_documents(docs: DataFrame, model: L.LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents identified as English with a score of at least 0.7."""
     found = L.identify(docs, model, key, text)
     english = found.where(L.is_confident_english(F.col("label"), F.col("score"))).select(key)
     return docs.join(english.hint("shuffle_hash"), key, "left_semi")
 
 
-def filter_crawl(spark: SparkSession, path: str, model: DataFrame, output: str) -> DataFrame:
+def filter_crawl(spark: SparkSession, path: str, model: L.LanguageModel, output: str) -> DataFrame:
     """Write the English records of WET files as Parquet and return the share of text kept.
 
     Record ids are unique by the archive format, so they serve as key. Few gzip files are spread over the cluster.

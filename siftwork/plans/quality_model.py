@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from siftwork.functions import html
 from siftwork.functions import text as T
 from siftwork.operators import classifiers as C
 from siftwork.operators import language as L
-from siftwork.operators import rules, sampling
+from siftwork.operators import reports, rules, sampling
+from siftwork.session import materialize
 
 POSITIVE, NEGATIVE = "wiki", "cc"
 MIN_CLEAN_SCORE = 0.7
@@ -30,18 +33,53 @@ def is_confidently_clean(label: Column, score: Column, harmful: str) -> Column:
 
 
 def responses_to_texts(responses: DataFrame) -> DataFrame:
-    """Adds ``reason`` and ``text`` (flattened page text) to crawl responses (status, content_type, body)."""
+    """``reason``, ``error`` and ``text`` (flattened page text) in place of status, content type and body of crawl responses.
+
+    A response that cannot be read has the reason ``errors`` and a message; it never fails the job.
+    """
     with_reason = responses.withColumn("reason", response_reason(F.col("status"), F.col("content_type")))
-    body = F.when(F.col("reason").isNull(), F.col("body"))
-    decoded = with_reason.withColumn("_page", html.decode_html(body))
-    extracted = decoded.withColumn("text", T.flatten_ws(html.extract_text(F.col("_page")))).drop("_page")
-    empty = F.col("reason").isNull() & (F.coalesce(F.col("text"), F.lit("")) == "")
-    return extracted.withColumn("reason", F.when(empty, "empty").otherwise(F.col("reason")))
+    usable = F.col("reason").isNull()
+    decoded = with_reason.withColumn("_page", html.try_decode_html(F.when(usable, F.col("body"))))
+    error = F.when(usable & F.col("body").isNull(), "no body").otherwise(F.col("_page.error"))
+    read = decoded.withColumn("error", error).withColumn("text", T.flatten_ws(html.extract_text(F.col("_page.text"))))
+    reason = F.coalesce("reason", F.when(F.col("error").isNotNull(), "errors"), F.when(F.col("text") == "", "empty"))
+    return read.withColumn("reason", reason).drop("_page", "status", "content_type", "body")
+
+
+@dataclass(frozen=True)
+class Quarantined:
+    """Rows read in one pass and stored: those without a ``reason``, those with one, and counters over both."""
+
+    good: DataFrame
+    bad: DataFrame
+    counters: DataFrame
+
+
+def quarantine(rows: DataFrame, *keys: str) -> Quarantined:
+    """Split rows with a ``reason`` column. The counters have a row per reason, ``seen`` for all rows and ``kept`` for the good."""
+    stored = materialize(rows)
+    counted = stored.withColumn("reason", F.explode(F.array(F.lit("seen"), F.coalesce("reason", F.lit("kept")))))
+    return Quarantined(stored.where("reason IS NULL").drop("reason", "error"), stored.where("reason IS NOT NULL"), reports.reason_counts(counted, *keys))
+
+
+def examples_of_responses(
+    responses: DataFrame, languages: L.LanguageModel, harm: DataFrame, harm_heads: tuple[C.Head, ...], key: str, label: str = "label"
+) -> tuple[DataFrame, DataFrame]:
+    """``(key, label, reason)`` of all responses, and ``(key, text)`` of those that hold a page; pages are read once."""
+    pages = quarantine(responses_to_texts(responses), label)
+    chosen = select_examples(pages.good, languages, harm, harm_heads, key, label)
+    return chosen.unionByName(pages.bad.select(key, label, "reason")), pages.good.select(key, "text")
+
+
+def build_statistics(examples: DataFrame, label: str = "label") -> DataFrame:
+    """``(label, reason, n)`` of all examples: how many were ``seen``, why they were not used, and how many were ``kept``."""
+    counted = examples.withColumn("reason", F.explode(F.array(F.lit("seen"), F.coalesce("reason", F.lit("kept")))))
+    return reports.reason_counts(counted, label)
 
 
 def select_examples(
     docs: DataFrame,
-    languages: DataFrame,
+    languages: L.LanguageModel,
     harm: DataFrame,
     harm_heads: tuple[C.Head, ...],
     key: str = "doc_id",
@@ -81,7 +119,7 @@ def build_set(examples: DataFrame, key: str = "doc_id", label: str = "label", ca
 
 def labelled_lines(examples: DataFrame, docs: DataFrame, key: str = "doc_id", label: str = "label", text: str = "text") -> DataFrame:
     """``__label__<label> <text>`` per example. The balanced set is bounded by its cap, so it is broadcast."""
-    joined = docs.select(key, text).join(F.broadcast(examples), key)
+    joined = docs.select(key, text).join(F.broadcast(examples), key)  # at most the cap of each class
     line = F.concat(F.lit("__label__"), F.col(label), F.lit(" "), T.flatten_ws(F.col(text)))
     return joined.select(key, "split", line.alias("line"))
 

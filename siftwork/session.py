@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder, which all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and continue from there with an empty lineage."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftwork.sources.archive import read_archive
+
 # Fixed value: end of a record's payload and version line of the next record.
 SEPARATOR = "\r\n\r\nWARC/1.0\r\n"
 
@@ -52,36 +54,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records_exact(spark: SparkSession, path: str) -> DataFrame:
-    """The same records, read by Content-Length. One task reads one file, so use it for files that need it."""
-
-    def split(batches):
-        import gzip
-        import re
-
-        import pandas as pd
-
-        def field(head: bytes, name: bytes) -> str:
-            found = re.search(rb"(?im)^" + name + rb":[ \t]*([^\r\n]*?)[ \t]*\r?$", head)
-            return found.group(1).decode("utf-8", "replace") if found else ""
-
-        for batch in batches:
-            for file, content in zip(batch["path"], batch["content"], strict=True):
-                data = gzip.decompress(content) if bytes(content[:2]) == b"\x1f\x8b" else bytes(content)
-                at = 0
-                while (begin := data.find(b"WARC/1.", at)) >= 0:
-                    end = data.index(b"\r\n\r\n", begin)
-                    head = data[begin:end]
-                    length = int(field(head, b"Content-Length") or 0)
-                    payload = data[end + 4 : end + 4 + length]
-                    at = end + 4 + length
-                    yield pd.DataFrame(
-                        [[field(head, b"WARC-Type"), field(head, b"WARC-Target-URI"), field(head, b"WARC-Date"),
-                          field(head, b"WARC-Record-ID"), payload, file]],
-                        columns=["type", "url", "date", "record_id", "payload", "file"],
-                    )
-
-    schema = "type string, url string, date string, record_id string, payload binary, file string"
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(split, schema)
+    """The same records, read by Content-Length, and by many tasks where a file is compressed record by record."""
+    return read_archive(spark, path)
 
 
 def read_wet(spark: SparkSession, path: str, exact: bool = False) -> DataFrame:
@@ -91,17 +65,18 @@ def read_wet(spark: SparkSession, path: str, exact: bool = False) -> DataFrame:
     return records.where("type = 'conversion'").select("url", "date", "record_id", text.alias("text"), "file")
 
 
+def with_http_fields(records: DataFrame, payload: str = "payload") -> DataFrame:
+    """``status``, ``content_type`` and ``body`` in place of an HTTP payload; status is null without HTTP headers."""
+    headed = records.withColumn("_head", F.substring_index(F.col(payload).cast("string"), "\r\n\r\n", 1))
+    status = F.expr(r"try_cast(nullif(regexp_extract(_head, '^HTTP/[0-9.]+ +([0-9]{3})', 1), '') as int)")
+    return headed.withColumns({
+        "status": status, "content_type": _header(F.col("_head"), "Content-Type"),
+        "body": F.substring(F.col(payload), F.octet_length("_head") + 5, F.length(payload)),
+    }).drop("_head", payload)
+
+
 def read_responses(spark: SparkSession, path: str, exact: bool = False) -> DataFrame:
     """``(url, status, content_type, body, file)`` of the ``response`` records; status is null without HTTP headers."""
     records = read_records_exact(spark, path) if exact else read_records(spark, path)
-    responses = records.where("type = 'response'").withColumn(
-        "_head", F.substring_index(F.col("payload").cast("string"), "\r\n\r\n", 1)
-    )
-    status = F.expr(r"try_cast(nullif(regexp_extract(_head, '^HTTP/[0-9.]+ +([0-9]{3})', 1), '') as int)")
-    return responses.select(
-        "url",
-        status.alias("status"),
-        _header(F.col("_head"), "Content-Type").alias("content_type"),
-        F.substring(F.col("payload"), F.octet_length("_head") + 5, F.length("payload")).alias("body"),
-        "file",
-    )
+    found = with_http_fields(records.where("type = 'response'").select("url", "payload", "file"))
+    return found.select("url", "status", "content_type", "body", "file")

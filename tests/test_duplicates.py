@@ -6,6 +6,7 @@ import pytest
 from siftwork.operators import components as G
 from siftwork.operators import exact_duplicates as X
 from siftwork.operators import near_duplicates as N
+from siftwork.operators import similarity_join as S
 from siftwork.operators import skew
 
 MENU = [
@@ -126,6 +127,46 @@ def test_clusters_equal_brute_force_with_hot_buckets(spark, tiny_salts):
     assert kept == sorted(i for i, _ in rows if expected.get(i, i) == i)
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_prefix_join_finds_all_pairs(spark, tiny_salts, threshold):
+    rng = random.Random(11)
+    sets = {}
+    for i in range(120):  # families around few bases, and sets of all sizes
+        base = [100 * (i % 6) + k for k in range(rng.randrange(1, 40))]
+        sets[i] = sorted({g if rng.random() > 0.1 else rng.randrange(10_000) for g in base})
+    rows = spark.createDataFrame([(i, s, i % 6) for i, s in sets.items()], "rep long, grams array<long>, component long")
+    similar = {
+        (a, b) for a, b in itertools.combinations(sets, 2) if len({*sets[a]} & {*sets[b]}) / len({*sets[a], *sets[b]}) >= threshold
+    }
+    found = {tuple(r) for r in S.candidate_pairs(rows, threshold).collect()}
+    assert similar <= found and len(found) < 120 * 119 / 4 and all(a < b for a, b in found)
+    between = {tuple(r) for r in S.candidate_pairs(rows, threshold, "component").collect()}
+    assert {(a, b) for a, b in similar if a % 6 != b % 6} <= between and all(a % 6 != b % 6 for a, b in between)
+    assert S.candidate_pairs(rows.where("false"), threshold).count() == 0
+
+
+def test_links_hold_every_pair_of_a_bucket(spark, tiny_salts):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(40)}" for _ in range(24)]
+    rows = [(i, " ".join(f"x{rng.randrange(6)}" if rng.random() < 0.1 else w for w in base)) for i in range(40)]
+    rows += [(100 + i, rows[i][1].upper()) for i in range(6)]
+    p = N.MinHashParameters(num_hashes=12, num_bands=12, ngrams=2, threshold=0.7)
+    found = [(r["a"], r["b"], r["jaccard"]) for r in N.verified_links(docs(spark, rows), p).collect()]
+    reps = {i: min(j for j, t in rows if _grams(t.lower(), 2) == _grams(u.lower(), 2)) for i, u in rows}
+    buckets = {}
+    for r in N.lsh_buckets(docs(spark, rows), p).collect():
+        buckets.setdefault((r["band"], r["leader"]), set()).add(r["doc_id"])
+    pairs = {c for m in buckets.values() for c in itertools.combinations(sorted(m), 2)}
+    grams = {i: _grams(t.lower(), 2) for i, t in rows}
+    expected = {
+        (a, b): len(grams[a] & grams[b]) / len(grams[a] | grams[b]) for a, b in pairs if reps[a] == a and reps[b] == b
+    }
+    expected = {k: j for k, j in expected.items() if j >= p.threshold} | {(r, i): 1.0 for i, r in reps.items() if r != i}
+    assert {(a, b): j for a, b, j in found} == pytest.approx(expected) and len(found) == len(expected)
+    label = {r["node"]: r["component"] for r in G.components(spark.createDataFrame([f[:2] for f in found], "a long, b long"), "a", "b").collect()}
+    assert label == {r["doc_id"]: r["cluster_id"] for r in N.duplicate_clusters(docs(spark, rows), p).collect()}
+
+
 def test_fixed_point_and_partition_independence(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(200)]

@@ -1,15 +1,19 @@
 import json
+import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from siftwork.operators import classifiers as C
 from siftwork.operators import language as L
-from siftwork.operators import sampling
+from siftwork.operators import reports, sampling
+from siftwork.operators import softmax as X
 from siftwork.plans import curate as P
 from siftwork.plans import english
 from siftwork.plans import quality_model as Q
-from siftwork.streaming.incremental import curate_incrementally
+from siftwork.streaming.incremental import curate_incrementally, streamed_report
 
 GOOD = "The committee published a careful history of the river and its bridges over many years."
 BAD = "Click here now to win free prizes and buy cheap pills from our hot store today."
@@ -73,6 +77,15 @@ def test_incremental_curation_equals_batch(spark, models, corpus, tmp_path):
     assert streamed == batch
     reported = spark.read.json(str(tmp_path / "out" / "reports")).where("source = 'ALL'").agg(F.sum("total")).first()[0]
     assert reported == 7
+    whole = {tuple(r) for r in reports.filter_report_by_source(P.judge(plain, models, keep=("source",))).collect()}
+    names = reports.filter_report_by_source(P.judge(plain, models, keep=("source",))).columns
+
+    def merged():
+        return {tuple(r) for r in streamed_report(spark, paths["out"]).select(*names).collect()}
+
+    assert merged() == whole
+    curate_incrementally(spark, paths["in"], paths["out"], paths["ckpt"] + "-lost", models, files_per_batch=1)
+    assert merged() == whole  # batches that run again replace their counters
 
 
 LANGUAGE_ROWS = [
@@ -84,7 +97,7 @@ LANGUAGE_ROWS = [
 
 
 def test_languages(spark):
-    model = L.train_languages(spark.createDataFrame(LANGUAGE_ROWS, "lang string, text string")).cache()
+    model = L.train_languages(spark.createDataFrame(LANGUAGE_ROWS, "lang string, text string"))
     asked = [
         (1, "the bridges of the town\n"), (2, "欢迎来到我们的网站"), (3, "добро пожаловать на наш сайт"), (4, "日本語のページへようこそ"),
         (5, "die brücken der stadt"), (6, ""), (7, "καλώς ήρθατε στη σελίδα μας"), (8, "웹사이트에 오신 것을 환영합니다"),
@@ -96,13 +109,68 @@ def test_languages(spark):
     assert [r["doc_id"] for r in english.english_documents(df, model).collect()] == [1]
 
 
+def _prose(r, language, n):
+    return " ".join(r.choice(language.split()) for _ in range(n))
+
+
+def test_open_languages_are_calibrated(spark):
+    """A language that no training row names is not taken for its neighbour with confidence."""
+    r = random.Random(2)
+    es = "la historia de ciudad y del río con todos los puentes que se construyeron para gente mucho tiempo después cuando llegaron nuevos años"
+    en = "the history of town and river with all bridges that were built for people much later when new years came again"
+    it = "questo è il testo della nostra città con tutti i ponti che furono costruiti per molta gente dopo tanto tempo nella quale anche gli altri"
+    rows = [(i, _prose(r, es if i % 2 else en, 60), "es" if i % 2 else "en") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.calibrate(L.train_languages(docs.where("doc_id < 80")), docs.where("doc_id >= 80"))
+    assert model.classes == ("en", "es") and set(model.typical) == {"en", "es"} and model.temperature > L.TEMPERATURE
+    asked = spark.createDataFrame([(0, _prose(r, it, 60)), (1, _prose(r, es, 60)), (2, _prose(r, en, 60)), (3, None)], "doc_id long, text string")
+    found = {x["doc_id"]: (x["label"], x["score"]) for x in L.identify(asked, model).collect()}
+    assert found[0][1] < 0.7 and found[1] == ("es", pytest.approx(1, abs=0.3)) and found[2] == ("en", pytest.approx(1, abs=0.3)) and 3 in found
+    with pytest.raises(ValueError, match="no languages"):
+        L.train_languages(docs.where("false"))
+
+
+def test_softmax_rounds_never_raise_the_loss(spark):
+    r = random.Random(4)
+    texts = {"a": "red green blue light dark", "b": "one two three light many", "c": "cat dog bird many dark"}
+    rows = [(i, _prose(r, texts[c], r.randrange(1, 12)), c) for i, c in enumerate("abc" * 30)] + [(900, "", "a"), (901, "red", None), (902, None, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind string")
+    losses = []
+    for rounds in (0, 1, 2, 5, 12):
+        model = X.train_softmax(docs, "kind", ("a", "b", "c"), rule=X.SoftmaxRule(rounds=rounds, l2=1e-4))
+        found = X.softmax_scores(docs, model)
+        joined = found.join(docs, "doc_id").where("kind IS NOT NULL").collect()
+        wrong = [x for x in joined if x["label"] != x["kind"]]
+        losses.append(sum(-math.log(x["score"] if x["label"] == x["kind"] else max(1 - x["score"], 1e-9) / 2) for x in joined))
+        assert found.count() == len(rows)
+    assert all(b <= a + 1e-6 for a, b in zip(losses, losses[1:])) and len(wrong) <= 12
+    # the plain computation of two rounds
+    model = X.train_softmax(docs, "kind", ("a", "b", "c"), rule=X.SoftmaxRule(rounds=2, l2=1e-4))
+    got = {x["feature"]: [x["w_0"] / 1e6, x["w_1"] / 1e6, x["w_2"] / 1e6] for x in model.weights.collect()}
+    bags = []
+    for _, t, c in rows:
+        if c:
+            w = (t or "").split()
+            bags.append((["", *w, *[f"{a} {b}" for a, b in zip(w, w[1:])]], "abc".index(c)))
+    names = sorted({f for bag, _ in bags for f in bag if f == "" or sum(b.count(f) for b, _ in bags) >= 2})
+    x = np.array([[bag.count(f) for f in names] for bag, _ in bags], float)
+    x /= x.sum(axis=1, keepdims=True)
+    y = np.eye(3)[[c for _, c in bags]]
+    w = np.zeros((len(names), 3))
+    for _ in range(2):
+        p = np.exp(x @ w)
+        p /= p.sum(axis=1, keepdims=True)
+        w -= (x.T @ (p - y) + 1e-4 * w) / (x.sum(axis=0)[:, None] / 2 + 1e-4)
+    assert set(got) == set(names) and np.allclose([got[f] for f in names], w, atol=1e-4)
+
+
 def test_crawl_prefilter_and_review(spark, tmp_path):
     from test_sources import record
 
     from siftwork.sources.files import review_blocks
 
     texts = ["the history of the town", "die geschichte der stadt"]
-    model = L.train_languages(spark.createDataFrame(LANGUAGE_ROWS, "lang string, text string")).cache()
+    model = L.train_languages(spark.createDataFrame(LANGUAGE_ROWS, "lang string, text string"))
     (tmp_path / "a.wet").write_bytes(b"".join(record("conversion", t.encode(), WARC_Record_ID=f"<{t[:3]}>") for t in texts))
     report = english.filter_crawl(spark, str(tmp_path / "a.wet"), model, str(tmp_path / "en")).first()
     assert (report["total_chars"], report["kept_chars"]) == (len(texts[0] + texts[1]), len(texts[0]))

@@ -1,5 +1,6 @@
 from siftwork.functions import html
 from siftwork.functions import urls as U
+from siftwork.operators import domains
 from siftwork.sources import files
 
 PAGE = """<!DOCTYPE html><html><head><title>not shown</title><style>p{}</style></head><body>
@@ -29,12 +30,26 @@ def test_decode_html(column):
     assert column(html.decode_html, pages, "binary") == ["café", "café", '<meta charset="gbk">中文', "<meta charset=nonsense>é"]
 
 
-def test_registered_domain(column):
-    urls = [
-        "http://www.example.com/a", "https://user:pw@a.b.example.co.uk:8080/x?y", "http://192.0.2.1/", "http://localhost/", "",
-        "//cdn.example.org/x", "http://co.uk/", "ftp://Sub.Example.NET.", None,
-    ]
-    assert column(U.registered_domain, urls) == ["example.com", "example.co.uk", "", "", "", "example.org", "", "example.net", ""]
+def test_registered_domain(spark):
+    expected = {
+        "http://www.example.com/a": "example.com", "https://user:pw@a.b.example.co.uk:8080/x?y": "example.co.uk",
+        "http://192.0.2.1/": "", "http://localhost/": "", "": "", "//cdn.example.org/x": "example.org", "http://co.uk/": "",
+        "ftp://Sub.Example.NET.": "example.net", None: "", "http://a.shop.co.ke": "shop.co.ke", "http://www.example.com.do/": "example.com.do",
+        "http://x.foo.bar.ck": "foo.bar.ck", "http://bar.ck": "", "http://a.www.ck": "www.ck", "http://a.city.kobe.jp": "city.kobe.jp",
+        "http://a.b.c.kobe.jp": "b.c.kobe.jp", "http://www.example.nosuchsuffix": "", "http://sub.例子.中国/": "例子.中国",
+        "http://sub.a.xn--fiqs8s/": "a.xn--fiqs8s", "http://a@": "", "http://me.github.io": "github.io",
+    }
+    rows = spark.createDataFrame([(u, "old") for u in expected], "url string, domain string")
+    found = domains.with_registered_domain(rows, domains.suffixes(spark))
+    assert {r["url"]: r["domain"] for r in found.collect()} == expected
+    private = domains.with_registered_domain(rows.where("url like '%github%'"), domains.suffixes(spark, private=True))
+    assert private.first()["domain"] == "me.github.io"
+
+
+def test_suffix_rules_of_a_file(spark, tmp_path):
+    (tmp_path / "rules").write_text("// ===BEGIN ICANN DOMAINS===\ncom\n*.zz // all\n!www.zz\n\n// ===BEGIN PRIVATE DOMAINS===\nblog.com\n")
+    rules = domains.suffixes(spark, str(tmp_path / "rules"))
+    assert sorted(map(tuple, rules.table.collect())) == [("com", 1), ("www.zz", 4), ("zz", 2)] and rules.depth == 2
 
 
 def test_valid_urls(column):
