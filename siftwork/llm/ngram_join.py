@@ -4,14 +4,14 @@ The numbers of bands and rows follow from the target recall at the threshold (:f
 shuffled to find candidates; a pair counts when the Jaccard similarity of its full n-gram sets reaches the threshold.
 
 Documents with equal n-gram sets are folded into the least of them. Every two of the others that share a bucket are compared
-on their full n-gram sets, so a link is missed with the chance of banding only, whichever documents are in the bucket. Pairs
-are never rows of a table:
+on their full n-gram sets, and no others, so a link is missed with the chance of banding only, whichever documents and however
+many are in the bucket. Pairs are never rows of a table:
 
 1. documents connected by buckets are a group, which is cut into blocks of about ``BLOCK`` n-grams; a task meets two blocks of
    one group, compares their documents in memory, and tells for each document how many links it has there and one document
    it is connected to. A group that fits one block is shuffled once;
-2. a group of more than ``MOST`` blocks is not compared as a whole: each of its buckets is cut into blocks instead, and a pair
-   counts in the first bucket that it shares.
+2. a group of more than ``MOST`` blocks is brought together bucket by bucket instead, each cut into blocks, and a pair counts in
+   the first bucket that it shares. This is another way to the same links.
 
 Rows between tasks grow with documents times blocks of their group. Comparisons grow with the square of a group, as the links
 to be counted may; documents too different in size are skipped.
@@ -130,13 +130,13 @@ def gram_sets(docs: DataFrame, n: int, text: str = "_text") -> DataFrame:
 
 
 def _stars(
-    sizes: np.ndarray, grams: np.ndarray, starts: np.ndarray, copies: np.ndarray, side: np.ndarray, bands: np.ndarray | None,
-    band: int, threshold: float,
+    sizes: np.ndarray, grams: np.ndarray, starts: np.ndarray, copies: np.ndarray, side: np.ndarray, bands: np.ndarray, band: int,
+    threshold: float,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Of each document of two blocks (sides 0 and 1) or one (side -1): a document it is connected to, and its links.
 
-    ``grams`` are numbers from 0 on. A link counts once for each copy of the other end. With ``bands``, only pairs of which
-    ``band`` is the first band they share are taken.
+    ``grams`` are numbers from 0 on. A link counts once for each copy of the other end. Pairs share one of their ``bands``; unless
+    ``band`` is -1, it is the first one.
     """
     component, links = np.arange(len(sizes)), np.zeros(len(sizes), np.int64)
     order = np.argsort(sizes, kind="stable")
@@ -156,10 +156,9 @@ def _stars(
         marks[own] = 1
         common = np.add.reduceat(marks[flat[at[first] : at[end]]], at[first:end] - at[first])
         marks[own] = 0
-        near = common / (size + wide[first:end] - common) >= threshold
-        if bands is not None:
-            near &= (bands[right[first:end]] == bands[i]).argmax(1) == band
-        met = right[first:end][near]
+        met = right[first:end][common / (size + wide[first:end] - common) >= threshold]
+        same = bands[met] == bands[i]
+        met = met[same.any(axis=1) & (band < 0 or same.argmax(axis=1) == band)]
         if len(met):
             links[i] += copies[met].sum()
             links[met] += copies[i]
@@ -172,7 +171,7 @@ def _stars(
 def _compared(rows: DataFrame, threshold: float) -> DataFrame:
     """``(a, b, n)``: ``b`` has ``n`` links in one of its groups, by which it is connected to ``a`` (maybe itself).
 
-    ``rows`` are ``group, side, band, id, copies, bands, grams``; ``band`` is -1 where all pairs of a group count.
+    ``rows`` are ``group, side, band, id, copies, bands, grams``; ``band`` is -1 where a group holds all buckets of its documents.
     """
     kind = dict(rows.dtypes)["id"]
 
@@ -181,11 +180,10 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
         side, band, copies = (batch.column(k).to_numpy() for k in ("side", "band", "copies"))
         if len(side) < 2:
             return None
-        lists, bands = batch.column("grams"), None
+        lists = batch.column("grams")
         sizes = lists.value_lengths().to_numpy().astype(np.int64)
         _, grams = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-        if band[0] >= 0:
-            bands = batch.column("bands").flatten().to_numpy().reshape(len(side), -1)
+        bands = batch.column("bands").flatten().to_numpy().reshape(len(side), -1)
         component, links = _stars(
             sizes, grams, np.concatenate([[0], np.cumsum(sizes)]), copies, side, bands, int(band[0]), threshold
         )
@@ -286,8 +284,7 @@ def similar(docs: DataFrame, rule: JoinRule = JoinRule(), key: str = "doc_id", t
     places = _places(buckets, reps)
     sharing = saved(places.select("id").distinct(), "sharing")
     grams = gram_sets(texts.join(small_side(sharing), "id", "left_semi"), rule.ngram).dropDuplicates(["id"])
-    by_bucket = places.where("band >= 0").select("id").distinct().withColumn("_by", F.lit(True))
-    known = reps.join(by_bucket, "id", "left").select("id", "copies", F.when(F.col("_by"), F.col("bands")).alias("bands"))
+    known = reps.select("id", "copies", "bands")
     block, other = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.col("_other")
     met = grams.join(places.join(known, "id"), "id").withColumn("_block", block).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
