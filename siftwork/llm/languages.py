@@ -6,13 +6,13 @@ language's texts are clustered by spherical k-means, and a text gets the languag
 A text that is farther from its centroid than nearly all texts the centroid was made of is marked as rejected.
 
 Document frequencies are counted in Spark over all texts to learn from. Centroids are fitted by numpy on a bounded sample of
-them: per language the first rows by a hash, together ``MOST_ROWS`` at most; these vectors alone are collected. The
+them: of each language about as many rows, chosen by a hash, together ``MOST_ROWS`` at most; these vectors alone are collected. The
 ``MOST_LANGUAGES`` most frequent languages are learned. Scoring reads whole texts in blocks and needs no shuffle.
 
 Defined results: a text without letters, a null one included, is ``und`` with score 0 and rejected, and so is every text if there is
 nothing to learn from; a text that shares no trigram with any centroid gets score 0 and the first language in order, rejected;
-equal cosines go to the first language in order; rows to learn from need a text and a language, and a language's rows
-may repeat; columns named like the added ones are replaced.
+equal cosines go to the first language in order; rows to learn from need letters and a language, and a
+language's rows may repeat; columns named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.llm.batches import views, with_text_columns
@@ -140,13 +140,16 @@ def _document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def _sample(texts: DataFrame, key: str, most: int) -> DataFrame:
-    """``(text, lang)`` of the first rows of each language by a hash; each task keeps no more than that of a language."""
-    counted = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    names = [r["lang"] for r in counted.collect()]
-    each = max(1, most // max(len(names), 1))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("sample"), key), "text")
-    rows = texts.where(F.col("lang").isin(names)).withColumn("_r", F.row_number().over(order))
-    return rows.where(F.col("_r") <= each).select("text", "lang", "_r")
+    """``(text, lang, _r)``: about the same number of rows of each language, by a hash that also is their order.
+
+    The share of a language that is wanted follows from its count, so no language is brought together in a task.
+    """
+    counted = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    each = most * 0.9 / max(len(counted), 1)
+    wanted = F.coalesce(*[F.when(F.col("lang") == r["lang"], each / r["n"]) for r in counted], F.lit(0.0))
+    rows = texts.withColumn("_r", F.xxhash64(F.lit("sample"), key))
+    rows = rows.where((F.col("_r") / 2.0**64 + 0.5) < wanted)
+    return rows.orderBy("_r", "text").limit(most).select("text", "lang", "_r")
 
 
 def cluster(rows: np.ndarray, rule: CentroidRule) -> tuple[np.ndarray, np.ndarray]:
@@ -193,20 +196,23 @@ def train(
                         [part.column("lang"), part.column("_r"), slots, weights], names=["lang", "_r", "slots", "weights"]
                     )
 
-    vectors = sample.mapInArrow(run, "lang string, _r int, slots array<int>, weights array<float>").toArrow().combine_chunks()
+    vectors = sample.mapInArrow(run, "lang string, _r bigint, slots array<int>, weights array<float>").toArrow().combine_chunks()
     names = np.array(vectors["lang"].to_pylist(), object)
     order = vectors["_r"].to_numpy()
-    languages = sorted(set(names))
+    languages: list[str] = []
     centroids, language, nearest = [np.zeros((0, SLOTS))], [], []
-    for i, name in enumerate(languages):
+    for name in sorted(set(names)):
         here = np.flatnonzero(names == name)
         part = vectors.take(pa.array(here[np.argsort(order[here], kind="stable")]))
         rows = np.zeros((part.num_rows, SLOTS))
         for r, (slots, weights) in enumerate(zip(part["slots"], part["weights"])):
             rows[r, slots.values.to_numpy()] = weights.values.to_numpy()
-        centers, least = cluster(rows, rule)
-        centroids.append(centers), nearest.extend(least)
-        language += [i] * len(centers)
+        rows = rows[rows.any(axis=1)]  # texts without letters teach nothing
+        if len(rows):
+            centers, least = cluster(rows, rule)
+            centroids.append(centers), nearest.extend(least)
+            language += [len(languages)] * len(centers)
+            languages.append(name)
     return Model(languages, idf, np.concatenate(centroids), np.array(language, np.int64), np.array(nearest))
 
 
