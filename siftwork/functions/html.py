@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cache
+from html.entities import html5
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,16 +68,71 @@ def decode_html(body: Column) -> Column:
     return try_decode_html(body)["text"]
 
 
+#: A character reference: a number, or a name and what may follow it without a break.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+def _table(entries: dict[str, str]) -> Column:
+    """A map of constants; it is one literal, which the optimizer turns into the map."""
+    text = "\x01".join(f"{k}\x02{v}" for k, v in entries.items())
+    return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
+
+
+@cache
+def _references() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """Characters by name, by those names that need no semicolon, and by the numbers that do not stand for themselves."""
+    names = {f"&{k}": v for k, v in html5.items()}
+    open_names = {k: v for k, v in names.items() if not k.endswith(";")}
+    numbers = {str(n): bytes([n]).decode("cp1252", "replace").replace("\ufffd", chr(n)) for n in range(0x80, 0xA0)}
+    return names, open_names, {**numbers, "0": "\ufffd", "13": "\r"}
+
+
+def _numbered(reference: Column, numbers: dict[str, str]) -> Column:
+    """The character of a numeric reference: none for numbers that are no character, U+FFFD for numbers out of range."""
+    is_hex = F.lower(F.substring(reference, 3, 1)) == "x"
+    digits = F.ltrim(F.rtrim(F.when(is_hex, F.substring(reference, 4, 1 << 20)).otherwise(F.substring(reference, 3, 1 << 20)), F.lit(";")), F.lit("0"))
+    value = F.when(F.length(digits) > 8, 1 << 30).when(digits == "", 0).otherwise(
+        F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("long").cast("int")
+    )
+
+    def character(n: Column) -> Column:
+        nothing = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(0xFFFE) == 0xFFFE)
+        known = F.try_element_at(_table(numbers), n.cast("string"))
+        return F.when(known.isNotNull(), known).when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd").when(nothing, "").otherwise(
+            F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        )
+
+    return F.get(F.transform(F.array(value), character), F.lit(0))
+
+
+def _named(reference: Column, names: dict[str, str], open_names: dict[str, str]) -> Column:
+    """The characters of a name; else those of the longest name it begins with, and the rest; else the reference as it is."""
+    begins = []
+    for n in sorted({len(k) for k in open_names}, reverse=True):
+        known = F.try_element_at(_table({k: v for k, v in open_names.items() if len(k) == n}), F.substring(reference, 1, n))
+        begins.append(F.concat(known, F.substring(reference, n + 1, 1 << 20)))
+    return F.coalesce(F.try_element_at(_table(names), reference), *begins, reference)
+
+
 def unescape(text: Column) -> Column:
-    """HTML entities (all named ones and numeric ones); texts without ``&`` stay in the JVM."""
+    """HTML character references, by name and by number, as browsers read them.
+
+    Each distinct reference of a text is looked up once; the text between them is not touched.
+    """
+    names, open_names, numbers = _references()
 
-    @F.pandas_udf("string")
-    def html_unescape(batch: pd.Series) -> pd.Series:
-        import html
+    def value(reference: Column) -> Column:
+        return F.when(F.substring(reference, 2, 1) == "#", _numbered(reference, numbers)).otherwise(_named(reference, names, open_names))
 
-        return batch.map(lambda s: None if s is None else html.unescape(s))
+    def joined(found: Column) -> Column:
+        return F.array_join(
+            F.transform(F.split(text, REFERENCE), lambda piece, i: F.concat(piece, F.coalesce(F.try_element_at(found["table"], F.get(found["all"], i)), F.lit("")))), ""
+        )
 
-    return F.coalesce(html_unescape(F.when(F.contains(text, F.lit("&")), text)), text)
+    every = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    table = F.get(F.transform(F.array(F.array_distinct(every)), lambda d: F.map_from_arrays(d, F.transform(d, value))), F.lit(0))
+    found = F.array(F.struct(every.alias("all"), table.alias("table")))
+    return F.when(text.rlike(REFERENCE), F.get(F.transform(found, joined), F.lit(0))).otherwise(text)
 
 
 def markup_steps(drop: tuple[str, ...] = ()) -> tuple[tuple[str, str], ...]:

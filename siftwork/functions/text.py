@@ -93,14 +93,42 @@ def _accent_table() -> tuple[str, str]:
     return "".join(source) + "".join(dropped), "".join(target)
 
 
-def strip_accents(text: Column) -> Column:
-    """Canonical decomposition without the non-spacing marks, by one translation table built from the Unicode data.
+@cache
+def _spread_out() -> dict[str, str]:
+    """Characters other than Hangul syllables that decompose into several spacing characters."""
+    found = {}
+    for code in range(0x80, 0x110000):
+        if 0xD800 <= code <= 0xDFFF or 0xAC00 <= code <= 0xD7A3:
+            continue
+        base = "".join(c for c in unicodedata.normalize("NFD", chr(code)) if unicodedata.category(c) != "Mn")
+        if len(base) > 1:
+            found[chr(code)] = base
+    return found
+
+
+def _jamo(syllable: Column) -> Column:
+    """The two or three letters of a Hangul syllable; they follow from its number."""
+    number = F.ascii(syllable) - 0xAC00
+    letters = [F.array(*[F.lit(chr(first + i)) for i in range(n)]) for first, n in ((0x1100, 19), (0x1161, 21))]
+    tails = F.array(F.lit(""), *[F.lit(chr(0x11A8 + i)) for i in range(27)])
+    return F.concat(
+        F.get(letters[0], F.floor(number / 588).cast("int")), F.get(letters[1], F.floor(number % 588 / 28).cast("int")),
+        F.get(tails, (number % 28).cast("int")),
+    )
 
-    Hangul syllables and about thirty characters that decompose into several spacing characters stay
-    composed, which renames them one to one.
-    """
+
+def strip_accents(text: Column) -> Column:
+    """Canonical decomposition without the non-spacing marks: a translation table built from the Unicode data, and for the
+    texts that hold them, Hangul syllables by arithmetic and the few characters with several spacing parts one by one."""
     source, target = _accent_table()
-    return F.translate(text, source, target)
+    spread = _spread_out()
+    plain = F.translate(text, source, target)
+    parts = plain
+    for character, base in spread.items():
+        parts = F.replace(parts, F.lit(character), F.lit(base))
+    plain = F.when(text.rlike(f"[{''.join(spread)}]"), parts).otherwise(plain)
+    syllables = F.transform(F.split(plain, ""), lambda c: F.when(c.between("\uac00", "\ud7a3"), _jamo(c)).otherwise(c))
+    return F.when(text.rlike("[\uac00-\ud7a3]"), F.array_join(syllables, "")).otherwise(plain)
 
 
 def normalize_text(text: Column) -> Column:

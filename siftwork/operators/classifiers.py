@@ -52,6 +52,11 @@ def _word_pairs(words: Column) -> Column:
 #: Lower-cased words and neighbouring word pairs.
 WORDS = FeatureSet(lambda text: T.words(F.lower(T.one_line(text))), _word_pairs)
 
+#: The same features of a text whose white space is flattened already.
+FLAT_WORDS = FeatureSet(
+    lambda flat: F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(F.lower(flat), " ")), _word_pairs
+)
+
 #: Character trigrams of the lower-cased words with one space around each.
 TRIGRAMS = FeatureSet(
     lambda text: F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " ")), F.lit(" ")),

@@ -65,12 +65,17 @@ def failed_rule() -> Column:
     )
 
 
-def with_rule_reason(df: DataFrame, text: str = "stripped") -> DataFrame:
-    """Adds ``reason`` from the length and quality rules alone. Tokens are made only where the length rule passes."""
+def with_rule_reason(df: DataFrame, text: str = "stripped", flat_text: str | None = None) -> DataFrame:
+    """Adds ``reason`` from the length and quality rules alone. Tokens are made only where the length rule passes.
+
+    ``flat_text`` names a column that keeps the text with its white space flattened.
+    """
     flat = df.withColumn("_flat_text", T.flatten_ws(F.col(text)))
     sized = flat.withColumn("_length_reason", length_reason(T.flat_word_count(F.col("_flat_text"))))
     measured = with_rule_measures(sized, text, "_flat_text", F.col("_length_reason").isNull())
     reason = F.coalesce("_length_reason", F.when(failed_rule().isNotNull(), "gopher"))
+    if flat_text:
+        measured = measured.withColumn(flat_text, F.col("_flat_text"))
     return measured.withColumn("reason", reason).drop(
         "_flat_text", "_length_reason", "n_tokens", "mean_len", "ellipsis_share", "alpha_share"
     )

@@ -11,6 +11,8 @@ from siftwork.functions import text as T
 from siftwork.functions.pii import with_masked
 from siftwork.operators import classifiers as C
 from siftwork.operators import domains, rules
+from siftwork.operators.skew import BROADCAST_ROWS
+from siftwork.session import materialize
 
 
 @dataclass(frozen=True)
@@ -24,25 +26,29 @@ class Models:
         return F.col(f"{name}_label") if any(h.label == name for h in self.heads) else None
 
 
-def screened(docs: DataFrame, text: str = "text") -> DataFrame:
+def screened(docs: DataFrame, text: str = "text", flat_text: str | None = None) -> DataFrame:
     """Adds ``stripped`` and the ``reason`` given by the length and quality rules."""
-    return rules.with_rule_reason(docs.withColumn("stripped", T.strip(F.col(text))))
+    return rules.with_rule_reason(docs.withColumn("stripped", T.strip(F.col(text))), flat_text=flat_text)
 
 
-def judge(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def judge(
+    docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), counts: bool = True
+) -> DataFrame:
     """``(key, *keep, reason, n_email, n_phone, n_ip)`` without text: what the reports need.
 
     One scan and one shuffle of a few numbers per document. Rules, masking counts and feature extraction run in
-    the scan task; later and dearer steps see only texts that passed the earlier ones.
+    the scan task; later and dearer steps see only texts that passed the earlier ones. Without ``counts``, nothing is masked.
     """
-    found = screened(docs.select(key, *keep, text), text).withColumnRenamed("reason", "_rule")
-    passed = found.withColumn("_passed", F.when(F.col("_rule").isNull(), F.col("stripped")))
-    counted = with_masked(passed, "_passed", "_masked_text")
-    small = [key, *keep, "_rule", "n_email", "n_phone", "n_ip"]
-    sums = C.score_sums(counted, models.table, models.heads, C.WORDS, small, "_passed", F.col("_rule").isNull())
+    found = screened(docs.select(key, *keep, text), text, "_flat").withColumnRenamed("reason", "_rule")
+    masked = ["n_email", "n_phone", "n_ip"] if counts else []
+    if counts:
+        found = found.withColumn("_passed", F.when(F.col("_rule").isNull(), F.col("stripped")))
+        found = with_masked(found, "_passed", "_masked_text")
+    small = [key, *keep, "_rule", *masked]
+    sums = C.score_sums(found, models.table, models.heads, C.FLAT_WORDS, small, "_flat", F.col("_rule").isNull())
     judged = sums.select(*small, *C.verdicts(models.heads))
     reason = rules.final_reason(F.col("_rule"), models.label("quality"), models.label("nsfw"), models.label("toxic"))
-    return judged.select(key, *keep, reason.alias("reason"), "n_email", "n_phone", "n_ip")
+    return judged.select(key, *keep, reason.alias("reason"), *masked)
 
 
 def rejected(docs: DataFrame, judged: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -67,13 +73,15 @@ def curate(
 ) -> DataFrame:
     """The kept documents, masked, with ``word_count`` and (if there is a ``url``) ``domain`` by the rules of ``suffixes``.
 
-    The verdicts are a narrow table; the text is shuffled at most once, to meet them, and not at all when Spark can
-    broadcast them. Masking runs on kept documents only. Pass ``judged`` to share verdicts with the reports.
+    The verdicts are a narrow table, which is stored; up to ``BROADCAST_ROWS`` kept keys are sent to the texts, which then stay
+    where they are, and for more of them the text is shuffled once. Masking runs on kept documents only. Pass ``judged`` to
+    share verdicts with the reports.
     """
     if judged is None:
-        judged = judge(docs, models, key, text)
-    kept = judged.where("reason is null").select(key)
-    result = mask_kept(docs.join(kept.hint("shuffle_hash"), key, "left_semi"), text)
+        judged = judge(docs, models, key, text, counts=False)
+    kept = materialize(judged.where("reason is null").select(key))
+    side = F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept.hint("shuffle_hash")
+    result = mask_kept(docs.join(side, key, "left_semi"), text)
     if "url" in docs.columns:
         result = domains.with_registered_domain(result, suffixes or domains.suffixes(docs.sparkSession))
     return result

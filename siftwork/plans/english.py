@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftwork.operators import language as L
 from siftwork.operators import reports
+from siftwork.session import materialize
 from siftwork.sources.tables import spread
 from siftwork.sources.warc import read_wet
 
@@ -21,15 +22,12 @@ def english_documents(docs: DataFrame, model: L.LanguageModel, key: str = "doc_i
 def filter_crawl(spark: SparkSession, path: str, model: L.LanguageModel, output: str) -> DataFrame:
     """Write the English records of WET files as Parquet and return the share of text kept.
 
-    Record ids are unique by the archive format, so they serve as key. Few gzip files are spread over the cluster.
+    The archive is unpacked once, into a stored table that the verdicts and the output are made from. Records without an id
+    are named by file and place, so the id serves as key. Few gzip files are spread over the cluster.
     """
-    docs = spread(read_wet(spark, path))
-    english_documents(docs, model, "record_id").write.mode("overwrite").parquet(output)
-    lengths = docs.select(F.length("text").alias("n"), F.lit(False).alias("kept")).unionByName(
-        spark.read.parquet(output).select(F.length("text").alias("n"), F.lit(True).alias("kept"))
-    )
-    totals = lengths.agg(
-        F.coalesce(F.sum(F.when(~F.col("kept"), F.col("n"))), F.lit(0)).alias("total_chars"),
-        F.coalesce(F.sum(F.when(F.col("kept"), F.col("n"))), F.lit(0)).alias("kept_chars"),
-    )
-    return totals.withColumn("kept_percent", reports.percent(F.col("kept_chars"), F.col("total_chars")))
+    docs = materialize(spread(read_wet(spark, path)))
+    found = materialize(L.identify(docs, model, "record_id"))
+    english = L.is_confident_english(F.col("label"), F.col("score"))
+    docs.join(found.where(english).select("record_id").hint("shuffle_hash"), "record_id", "left_semi").write.mode("overwrite").parquet(output)
+    sized = docs.select("record_id", F.length("text").alias("n")).join(found, "record_id")
+    return reports.kept_text_share(sized, F.col("n"), english)

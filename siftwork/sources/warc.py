@@ -20,7 +20,7 @@ def _header(headers: Column, name: str) -> Column:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """``(type, url, date, record_id, payload, file)`` of every record.
+    """``(type, url, date, record_id, payload, file)`` of every record; one without an id is named by its file and place.
 
     A payload is cut to its Content-Length. One that contains the separator arrives in pieces, the first of which is
     shorter than announced; records of another format version are not separated, so more follows than announced.
@@ -37,7 +37,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         _header(F.col("_head"), "WARC-Type").alias("type"),
         _header(F.col("_head"), "WARC-Target-URI").alias("url"),
         _header(F.col("_head"), "WARC-Date").alias("date"),
-        _header(F.col("_head"), "WARC-Record-ID").alias("record_id"),
+        F.coalesce(
+            F.nullif(_header(F.col("_head"), "WARC-Record-ID"), F.lit("")),
+            F.concat("file", F.lit("@"), F.monotonically_increasing_id().cast("string")),
+        ).alias("record_id"),
         F.expr(length),
         (F.octet_length("_head") + 4).alias("_skip"),
         "_bytes",

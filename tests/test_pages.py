@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from siftwork.functions import html
 from siftwork.functions import urls as U
 from siftwork.operators import domains
@@ -25,6 +27,28 @@ def test_drop_elements(column):
     assert column(lambda c: html.extract_text(c, ("nav",)), [page]) == ["body"]
 
 
+def test_character_references(column):
+    import html as standard
+    import random
+
+    rng = random.Random(3)
+    names = sorted(standard.entities.html5) if hasattr(standard, "entities") else []
+    parts = [
+        "&amp;", "&lt", "&lt;", "&notit;", "&notin;", "&no;", "&;", "&", "&&", "& amp;", "&#65;", "&#65", "&#x41;", "&#X1f600;", "&#x110000;", "&#xD800;",
+        "&#0;", "&#000065;", "&#128;", "&#x9f;", "&#1;", "&#11;", "&#xfffe;", "&#13;", "&#99999999999999999999;", "&#;", "&#x;", "&#xg;", "&amp;lt;",
+        "&ampamp;", "&copyright", "&frac12x", "&CounterClockwiseContourIntegral;", "&acE;", "&fjlig;", "&unknownname;", "x", " ", "\n", "é", "&é;", "<b>",
+        "&thetasym;", "&yacutes;", "&quot", "&#38;lt;", "&" + "a" * 40 + ";",
+    ]
+    texts = [*parts, *["".join(rng.choice(parts) for _ in range(12)) for _ in range(200)], *[f"a&{n}b" for n in names[::7]], "", None]
+    expected = [t if t is None else standard.unescape(t) for t in texts]
+    assert column(html.unescape, texts) == expected
+
+
+def test_pages_need_no_python(spark):
+    plan = spark.createDataFrame([("<p>&eacute;</p>",)], "t string").select(html.extract_text(F.col("t")))
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_decode_html(column):
     pages = ["café".encode(), "café".encode("cp1252"), b'<meta charset="gbk">' + "中文".encode("gbk"), b"<meta charset=nonsense>\xe9"]
     assert column(html.decode_html, pages, "binary") == ["café", "café", '<meta charset="gbk">中文', "<meta charset=nonsense>é"]

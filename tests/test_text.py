@@ -77,3 +77,13 @@ def test_masking_chain_is_idempotent(spark):
     assert (row["n_email"], row["n_phone"], row["n_ip"]) == (1, 1, 1)
     again = pii.with_masked(once.select(F.col("masked").alias("text"))).first()
     assert again["masked"] == row["masked"] and again["n_email"] + again["n_phone"] + again["n_ip"] == 0
+
+
+def test_strip_accents_equals_the_decomposition(column):
+    import unicodedata
+
+    texts = ["한글 텍스트 가각힣", "Éà ñ", "ক\u09cb ୋ ஔ", "plain", "e\u0301", "\ud7a3x\uac00", "", None, "漢字かな"]
+    expected = [
+        t if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn") for t in texts
+    ]
+    assert column(T.strip_accents, texts) == expected
