@@ -318,7 +318,7 @@ def langid_review_sample(spark, sf):
 
 
 def train_quality_nb(spark, sf):
-    model = C.train(labelled(spark, sf).drop("toxic"), (C.QUALITY,), C.WORDS)
+    model = C.train(labelled(spark, sf).drop("toxic"), (C.QUALITY,), C.WORD_NAMES)
     counts = [(c, C.QUALITY.count(i)) for i, c in enumerate(C.QUALITY.classes)]
     rows = F.array(*[F.struct(F.lit(c).alias("label"), F.col(n).alias("n")) for c, n in counts])
     return model.select("feature", F.inline(rows))

@@ -1,6 +1,7 @@
 """Linear text classifiers trained and applied as Spark jobs.
 
-A model is a table with one row per feature and one column of log-probabilities per class. Training is one
+A model is a table with one row per feature and one column of log-probabilities per class. One feature, the bias, is present
+once in every document and carries the class priors. Training is one
 grouped count over exploded features; applying it is an explode, a join with the model and a grouped sum. Weights are
 fixed-point integers, so sums do not depend on the order of rows and results are the same for any partitioning.
 
@@ -22,45 +23,81 @@ from siftwork.session import materialize
 
 #: Fixed-point unit of log-probabilities.
 UNIT = 1_000_000
-#: Present once in every document: carries the class priors.
-BIAS = ""
 
 
 @dataclass(frozen=True)
-class FeatureSet:
-    """How a text becomes features: ``prepare`` runs once per text, ``expand`` turns its result into an array."""
+class FeatureNames:
+    """Features as strings: ``prepare`` runs once per text, ``expand`` turns its result into an array of names."""
 
     prepare: Callable[[Column], Column]
     expand: Callable[[Column], Column]
 
+    #: SQL for "this row is the bias".
+    is_bias = "feature = ''"
+
     def explode(self, df: DataFrame, text: str, *keep: str, when: Column | None = None) -> DataFrame:
         """``(*keep, feature)``; texts for which ``when`` is false get the bias feature only."""
         source = F.col(text) if when is None else F.when(when, F.col(text))
         # a projection of its own, so that the prepared value is not recomputed for every use in the array
         prepared = df.select(*keep, self.prepare(source).alias("_prepared"))
-        bias = F.array(F.lit(BIAS))
-        found = F.concat(bias, F.coalesce(self.expand(F.col("_prepared")), F.array().cast("array<string>")))
+        found = F.concat(F.array(F.lit("")), F.coalesce(self.expand(F.col("_prepared")), F.array().cast("array<string>")))
         return prepared.select(*keep, F.explode(found).alias("feature"))
 
 
+@dataclass(frozen=True)
+class FeatureIds:
+    """Features as 64-bit hashes, which are cheaper to make, join and group than strings.
+
+    ``units`` turns a text into an array of strings (words, characters); ``ids`` turns each ``width`` units in a row, null beyond the
+    end, into hashes, null for none. Everything after ``units`` is generated code. The empty unit, first in every text, is the bias.
+    """
+
+    units: Callable[[Column], Column]
+    width: int
+    ids: Callable[..., list[Column]]
+
+    is_bias = "feature = xxhash64('')"
+
+    def explode(self, df: DataFrame, text: str, *keep: str, when: Column | None = None) -> DataFrame:
+        """``(*keep, feature)``; texts for which ``when`` is false get the bias feature only."""
+        source = F.col(text) if when is None else F.when(when, F.col(text))
+        units = F.concat(F.array(F.lit("")), F.coalesce(self.units(source), F.array().cast("array<string>")))
+        names = [f"_u{i}" for i in range(self.width)]
+        runs = F.arrays_zip(*[F.slice("_units", F.lit(i + 1), F.lit(1 << 30)).alias(n) for i, n in enumerate(names)])
+        rows = df.select(*keep, units.alias("_units")).select(*keep, F.inline(runs).alias(*names))
+        found = rows.select(*keep, F.explode(F.array(*self.ids(*map(F.col, names)))).alias("feature"))
+        return found.where("feature IS NOT NULL")
+
+
+FeatureSet = FeatureNames | FeatureIds
+
+
 def _word_pairs(words: Column) -> Column:
     count = F.greatest(F.size(words) - 1, F.lit(0))
     pairs = F.zip_with(F.slice(words, 1, count), F.slice(words, 2, count), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.concat(words, pairs)
 
 
-#: Lower-cased words and neighbouring word pairs.
-WORDS = FeatureSet(lambda text: T.words(F.lower(T.one_line(text))), _word_pairs)
+def _word_ids(a: Column, b: Column) -> list[Column]:
+    return [F.xxhash64(a), F.when((a != "") & b.isNotNull(), F.xxhash64(a, b))]
+
+
+def _flat_words(flat: Column) -> Column:
+    return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(F.lower(flat), " "))
+
+
+def _letters(text: Column) -> Column:
+    return F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " ")), F.lit(" "))
 
-#: The same features of a text whose white space is flattened already.
-FLAT_WORDS = FeatureSet(
-    lambda flat: F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(F.lower(flat), " ")), _word_pairs
-)
 
+#: Lower-cased words and neighbouring word pairs, by name.
+WORD_NAMES = FeatureNames(lambda text: T.words(F.lower(T.one_line(text))), _word_pairs)
+#: The same as ids; and those of a text whose white space is flattened already.
+WORDS = FeatureIds(lambda text: T.words(F.lower(T.one_line(text))), 2, _word_ids)
+FLAT_WORDS = FeatureIds(_flat_words, 2, _word_ids)
 #: Character trigrams of the lower-cased words with one space around each.
-TRIGRAMS = FeatureSet(
-    lambda text: F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " ")), F.lit(" ")),
-    lambda letters: F.regexp_extract_all(letters, F.lit(r"(?=(...))"), F.lit(1)),
+TRIGRAMS = FeatureIds(
+    lambda text: F.split(_letters(text), ""), 3, lambda a, b, c: [F.when(a == "", F.xxhash64(a)).when(c.isNotNull(), F.xxhash64(a, b, c))]
 )
 
 
@@ -102,9 +139,9 @@ def train(
     The bias row holds the log priors; the others log((n + 1) / (N + V)) with N and V taken over the vocabulary.
     """
     counts = feature_counts(df, heads, features, text)
-    vocabulary = materialize(counts.where((F.col("total") >= min_count) | (F.col("feature") == BIAS)))
+    vocabulary = materialize(counts.where((F.col("total") >= min_count) | F.expr(features.is_bias)))
     pairs = [(h, i) for h in heads for i in range(len(h.classes))]
-    words = F.col("feature") != BIAS
+    words = ~F.expr(features.is_bias)
     sums = vocabulary.agg(
         F.count_if(words).alias("v"), *[F.sum(F.when(words, F.col(h.count(i))).otherwise(0)).alias(h.count(i)) for h, i in pairs]
     ).first()
@@ -112,7 +149,7 @@ def train(
     for h, i in pairs:
         n, documents = h.count(i), " + ".join(h.count(j) for j in range(len(h.classes)))
         weights.append(
-            f"""cast(round({UNIT} * if(feature = '{BIAS}', ln(({n} + 1) / ({documents} + {len(h.classes)})),
+            f"""cast(round({UNIT} * if({features.is_bias}, ln(({n} + 1) / ({documents} + {len(h.classes)})),
                 ln(({n} + 1) / {(sums[n] or 0) + sums["v"]}L))) AS bigint) AS {h.weight(i)}"""
         )
     return vocabulary.selectExpr("*", *weights)

@@ -107,7 +107,7 @@ def _likelihood(head: C.Head, floors: Column) -> Column:
 
 
 def _typical(model: LanguageModel, sums: DataFrame) -> dict[str, Typical]:
-    head, word = model.head, F.col("feature") != C.BIAS
+    head, word = model.head, ~F.expr(C.TRIGRAMS.is_bias)
     numbers = []
     for i in range(len(head.classes)):
         n, w = F.when(word, F.col(head.count(i))), F.floor(F.col(head.weight(i)) / 1000).cast("long")

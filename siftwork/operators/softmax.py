@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwork.operators.classifiers import BIAS, WORDS, FeatureSet
+from siftwork.operators.classifiers import WORDS, FeatureSet
 from siftwork.operators.skew import lookup_join
 from siftwork.session import materialize
 
@@ -77,7 +77,7 @@ def train_softmax(
     number = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
     labelled = df.select(key, F.col(text).alias("text"), number.alias("_y")).where("_y >= 0")
     bags = materialize(_bags(labelled, features, "text", key, "_y"))
-    total = bags.groupBy("feature").agg(F.sum("c").alias("_t")).where((F.col("_t") >= rule.min_count) | (F.col("feature") == BIAS))
+    total = bags.groupBy("feature").agg(F.sum("c").alias("_t")).where((F.col("_t") >= rule.min_count) | F.expr(features.is_bias))
     vocabulary = materialize(total.select("feature"))
     rows = materialize(lookup_join(bags, vocabulary, ["feature"], F.col(key)))
     sizes = materialize(rows.groupBy(key).agg(F.sum("c").alias("n")))

@@ -37,23 +37,43 @@ def tokenize(df: DataFrame, vocabulary: DataFrame, key: str = "doc_id", text: st
     """``(key, *keep, tokens)``: ids in text order with the end-of-document id last, also for empty texts.
 
     ``vocabulary`` is a table of at most ``MAX_VOCABULARY`` rows. A pre-token it does not have becomes the ids of its UTF-8
-    bytes, so every text can be read back (:func:`detokenize`). The empty pre-token stands for the end of a document.
+    bytes, so every text can be read back (:func:`detokenize`). Ids are looked up by whole batches inside the row's task, so
+    nothing is shuffled.
     """
-    end = df.sparkSession.range(1).select(F.lit("").alias("token"), F.lit(EOS_ID).alias("id"))
-    ids = vocabulary.where("token <> ''").select("token", F.col("id").cast("int")).union(end)
-    pieces = F.concat(pretokens(F.coalesce(F.col(text), F.lit(""))), F.array(F.lit("")))
-    rows = df.select(key, *keep, F.posexplode(pieces).alias("_pos", "token")).join(F.broadcast(ids), "token", "left")
-    found = rows.select(key, *keep, "_pos", F.when(F.col("id").isNull(), _byte_ids(F.col("token"))).otherwise(F.array("id")).alias("ids"))
-    # a document's ids meet in the map task that read it; the pairs are put in text order afterwards
-    gathered = found.groupBy(key, *keep).agg(F.array_sort(F.collect_list(F.struct("_pos", "ids"))).alias("_ids"))
-    return gathered.select(key, *keep, F.flatten("_ids.ids").alias("tokens"))
-
-
-def _byte_ids(token: Column) -> Column:
-    digits = F.hex(F.encode(token, "UTF-8"))
-    return F.transform(
-        F.sequence(F.lit(1), F.length(digits), F.lit(2)), lambda i: F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("int")
-    )
+    names = vocabulary.where("token <> ''").select("token", F.col("id").cast("int")).toArrow()  # at most MAX_VOCABULARY rows
+    end = EOS_ID
+
+    def look_up(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        known, ids = names["token"].combine_chunks(), names["id"].to_numpy()
+        for batch in batches:
+            pieces = batch.column("_pieces")
+            flat = pieces.flatten()
+            place = pc.index_in(flat, value_set=known)
+            missing = place.is_null().to_numpy(zero_copy_only=False)
+            sizes = np.where(missing, pc.binary_length(flat).to_numpy(zero_copy_only=False), 1).astype(np.int64)
+            at = np.concatenate([[0], np.cumsum(sizes)])
+            # every document's end follows its pieces
+            ends = np.concatenate([[0], np.cumsum(pieces.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+            owner = np.repeat(np.arange(len(pieces)), np.diff(ends))
+            tokens = np.full(at[-1] + len(pieces), end, np.int32)
+            start = at[:-1] + owner
+            if len(ids):
+                tokens[start[~missing]] = ids[place.fill_null(0).to_numpy()[~missing]]
+            spelled = np.frombuffer("".join(flat.filter(pa.array(missing)).to_pylist()).encode(), np.uint8)
+            sizes = sizes[missing]
+            inner = np.arange(len(spelled)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            tokens[np.repeat(start[missing], sizes) + inner] = spelled
+            offsets = (at[ends] + np.arange(len(pieces) + 1)).astype(np.int32)
+            columns = [batch.column(c) for c in batch.schema.names if c != "_pieces"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))], names=schema.names)
+
+    cut = df.select(key, *keep, pretokens(F.coalesce(F.col(text), F.lit(""))).alias("_pieces"))
+    schema = cut.select(key, *keep, F.lit(None).cast("array<int>").alias("tokens")).schema
+    return cut.mapInArrow(look_up, schema)
 
 
 def detokenize(tokenized: DataFrame, vocabulary: DataFrame, key: str = "doc_id") -> DataFrame:

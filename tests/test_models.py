@@ -145,7 +145,7 @@ def test_softmax_rounds_never_raise_the_loss(spark):
         assert found.count() == len(rows)
     assert all(b <= a + 1e-6 for a, b in zip(losses, losses[1:])) and len(wrong) <= 12
     # the plain computation of two rounds
-    model = X.train_softmax(docs, "kind", ("a", "b", "c"), rule=X.SoftmaxRule(rounds=2, l2=1e-4))
+    model = X.train_softmax(docs, "kind", ("a", "b", "c"), rule=X.SoftmaxRule(rounds=2, l2=1e-4), features=C.WORD_NAMES)
     got = {x["feature"]: [x["w_0"] / 1e6, x["w_1"] / 1e6, x["w_2"] / 1e6] for x in model.weights.collect()}
     bags = []
     for _, t, c in rows:
