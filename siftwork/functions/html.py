@@ -72,12 +72,6 @@ def decode_html(body: Column) -> Column:
 REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
-def _table(entries: dict[str, str]) -> Column:
-    """A map of constants; it is one literal, which the optimizer turns into the map."""
-    text = "\x01".join(f"{k}\x02{v}" for k, v in entries.items())
-    return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
-
-
 @cache
 def _references() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
     """Characters by name, by those names that need no semicolon, and by the numbers that do not stand for themselves."""
@@ -97,7 +91,7 @@ def _numbered(reference: Column, numbers: dict[str, str]) -> Column:
 
     def character(n: Column) -> Column:
         nothing = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(0xFFFE) == 0xFFFE)
-        known = F.try_element_at(_table(numbers), n.cast("string"))
+        known = F.try_element_at(T.constant_map(numbers), n.cast("string"))
         return F.when(known.isNotNull(), known).when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd").when(nothing, "").otherwise(
             F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
         )
@@ -109,9 +103,9 @@ def _named(reference: Column, names: dict[str, str], open_names: dict[str, str])
     """The characters of a name; else those of the longest name it begins with, and the rest; else the reference as it is."""
     begins = []
     for n in sorted({len(k) for k in open_names}, reverse=True):
-        known = F.try_element_at(_table({k: v for k, v in open_names.items() if len(k) == n}), F.substring(reference, 1, n))
+        known = F.try_element_at(T.constant_map({k: v for k, v in open_names.items() if len(k) == n}), F.substring(reference, 1, n))
         begins.append(F.concat(known, F.substring(reference, n + 1, 1 << 20)))
-    return F.coalesce(F.try_element_at(_table(names), reference), *begins, reference)
+    return F.coalesce(F.try_element_at(T.constant_map(names), reference), *begins, reference)
 
 
 def unescape(text: Column) -> Column:
@@ -124,15 +118,7 @@ def unescape(text: Column) -> Column:
     def value(reference: Column) -> Column:
         return F.when(F.substring(reference, 2, 1) == "#", _numbered(reference, numbers)).otherwise(_named(reference, names, open_names))
 
-    def joined(found: Column) -> Column:
-        return F.array_join(
-            F.transform(F.split(text, REFERENCE), lambda piece, i: F.concat(piece, F.coalesce(F.try_element_at(found["table"], F.get(found["all"], i)), F.lit("")))), ""
-        )
-
-    every = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
-    table = F.get(F.transform(F.array(F.array_distinct(every)), lambda d: F.map_from_arrays(d, F.transform(d, value))), F.lit(0))
-    found = F.array(F.struct(every.alias("all"), table.alias("table")))
-    return F.when(text.rlike(REFERENCE), F.get(F.transform(found, joined), F.lit(0))).otherwise(text)
+    return T.let(text, lambda t: T.replace_each(t, REFERENCE, value))
 
 
 def markup_steps(drop: tuple[str, ...] = ()) -> tuple[tuple[str, str], ...]:

@@ -1,7 +1,6 @@
 """Column functions on plain text: white space, words, normal forms, tokens.
 
-Everything here is a built-in expression evaluated in the JVM, except :func:`canonical_decompose`, which
-sends only texts that may change to an Arrow helper.
+Everything here is a built-in expression evaluated in the JVM.
 """
 
 from __future__ import annotations
@@ -9,7 +8,6 @@ from __future__ import annotations
 import unicodedata
 from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -127,8 +125,7 @@ def strip_accents(text: Column) -> Column:
     for character, base in spread.items():
         parts = F.replace(parts, F.lit(character), F.lit(base))
     plain = F.when(text.rlike(f"[{''.join(spread)}]"), parts).otherwise(plain)
-    syllables = F.transform(F.split(plain, ""), lambda c: F.when(c.between("\uac00", "\ud7a3"), _jamo(c)).otherwise(c))
-    return F.when(text.rlike("[\uac00-\ud7a3]"), F.array_join(syllables, "")).otherwise(plain)
+    return F.when(text.rlike("[\uac00-\ud7a3]"), let(plain, lambda t: replace_each(t, "[\uac00-\ud7a3]", _jamo))).otherwise(plain)
 
 
 def normalize_text(text: Column) -> Column:
@@ -145,17 +142,66 @@ def normalize_text(text: Column) -> Column:
     return F.btrim(spaced, F.lit(" "))
 
 
+def _class(codes: list[int]) -> str:
+    """A character class of ascending code points, as ranges."""
+    ranges: list[list[int]] = []
+    for code in codes:
+        if ranges and code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(f"\\x{{{lo:x}}}" if lo == hi else f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in ranges) + "]"
+
+
+@cache
+def _canonical() -> tuple[dict[str, str], dict[str, str], str, str]:
+    """Full decompositions but for Hangul, classes of the marks that have an order, and both as character classes."""
+    plain = [c for c in range(0x80, 0x110000) if not 0xD800 <= c <= 0xDFFF and not 0xAC00 <= c <= 0xD7A3]
+    apart = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in plain if unicodedata.decomposition(chr(c))[:1] not in ("", "<")}
+    marks = {chr(c): f"{unicodedata.combining(chr(c)):03d}" for c in plain if unicodedata.combining(chr(c))}
+    return apart, marks, _class([ord(c) for c in apart]), _class([ord(c) for c in marks])
+
+
+def constant_map(entries: dict[str, str]) -> Column:
+    """A map of constants; it is one literal, which the optimizer turns into the map."""
+    return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in entries.items())), F.lit("\x01"), F.lit("\x02"))
+
+
+def replace_each(text: Column, pattern: str, change) -> Column:
+    """``text`` with every match of ``pattern`` changed; each distinct match is changed once."""
+    every = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    table = F.get(F.transform(F.array(F.array_distinct(every)), lambda d: F.map_from_arrays(d, F.transform(d, change))), F.lit(0))
+
+    def joined(found: Column) -> Column:
+        after = lambda i: F.coalesce(F.try_element_at(found["table"], F.get(found["all"], i)), F.lit(""))
+        return F.array_join(F.transform(F.split(text, pattern), lambda piece, i: F.concat(piece, after(i))), "")
+
+    found = F.array(F.struct(every.alias("all"), table.alias("table")))
+    return F.when(text.rlike(pattern), F.get(F.transform(found, joined), F.lit(0))).otherwise(text)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def canonical_decompose(text: Column) -> Column:
-    """Unicode NFD. Only texts with characters that can decompose or reorder reach the Python worker."""
+    """Unicode NFD: characters are taken apart, Hangul by arithmetic, then runs of marks are put into canonical order.
 
-    @F.pandas_udf("string")
-    def nfd(batch: pd.Series) -> pd.Series:
-        import unicodedata as data
+    Only texts that hold such characters are changed, and each distinct one is looked up once per text.
+    """
+    apart, marks, composed, marked = _canonical()
+    run = f"{marked}{{2,}}"
 
-        return batch.map(lambda s: None if s is None else data.normalize("NFD", s))
+    def in_order(found: Column) -> Column:
+        ranked = F.transform(F.split(found, ""), lambda c, i: F.struct(F.try_element_at(constant_map(marks), c).alias("r"), i.alias("i"), c.alias("c")))
+        return F.array_join(F.transform(F.array_sort(ranked), lambda m: m["c"]), "")
 
+    parts = let(text, lambda t: replace_each(t, composed, lambda c: F.try_element_at(constant_map(apart), c)))
+    parts = let(parts, lambda t: replace_each(t, "[\uac00-\ud7a3]", _jamo))
+    ordered = let(parts, lambda t: replace_each(t, run, in_order))
     changeable = text.rlike(r"[\x{c0}-\x{1fff}\x{2000}\x{2001}\x{2100}-\x{10ffff}]")
-    return F.coalesce(nfd(F.when(changeable, text)), text)
+    return F.when(changeable, ordered).otherwise(text)
 
 
 def normalize_exact(text: Column) -> Column:

@@ -87,3 +87,12 @@ def test_strip_accents_equals_the_decomposition(column):
         t if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn") for t in texts
     ]
     assert column(T.strip_accents, texts) == expected
+
+
+def test_canonical_decomposition_equals_the_standard(column):
+    import random
+
+    rng = random.Random(8)
+    pool = ["a", "e", " ", "é", "ệ", "Å", "각", "한", "\u0301", "\u0323", "\u0327", "\u0345", "\u093c", "ক", "\u09cb", "\u1e69", "\U0001d15e", "ﬁ", "Ω", "\u0f73", "漢", "豈"]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(0, 14))) for _ in range(300)] + [None, "", "plain", "\u0323\u0301", "q\u0307\u0323"]
+    assert column(T.canonical_decompose, texts) == [t if t is None else unicodedata.normalize("NFD", t) for t in texts]
