@@ -48,7 +48,7 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 #: Bytes of a stored side table that may be sent to every executor.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 256 << 20
 
 
 def value_bytes(value: Column, kind: T.DataType) -> Column:
