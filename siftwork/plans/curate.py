@@ -11,8 +11,6 @@ from siftwork.functions import text as T
 from siftwork.functions.pii import with_masked
 from siftwork.operators import classifiers as C
 from siftwork.operators import domains, rules
-from siftwork.operators.skew import BROADCAST_ROWS
-from siftwork.session import materialize
 
 
 @dataclass(frozen=True)
@@ -73,15 +71,13 @@ def curate(
 ) -> DataFrame:
     """The kept documents, masked, with ``word_count`` and (if there is a ``url``) ``domain`` by the rules of ``suffixes``.
 
-    The verdicts are a narrow table, which is stored; up to ``BROADCAST_ROWS`` kept keys are sent to the texts, which then stay
-    where they are, and for more of them the text is shuffled once. Masking runs on kept documents only. Pass ``judged`` to
-    share verdicts with the reports.
+    The verdicts are a narrow table; the text is shuffled once, to meet them, with a hash join that does not sort it. Masking
+    runs on kept documents only. Pass ``judged`` to share verdicts with the reports.
     """
     if judged is None:
         judged = judge(docs, models, key, text, counts=False)
-    kept = materialize(judged.where("reason is null").select(key))
-    side = F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept.hint("shuffle_hash")
-    result = mask_kept(docs.join(side, key, "left_semi"), text)
+    kept = judged.where("reason is null").select(key)
+    result = mask_kept(docs.join(kept.hint("shuffle_hash"), key, "left_semi"), text)
     if "url" in docs.columns:
         result = domains.with_registered_domain(result, suffixes or domains.suffixes(docs.sparkSession))
     return result
