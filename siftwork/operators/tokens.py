@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,8 @@ BYTE_IDS = 256
 MAX_VOCABULARY = 65_535 - BYTE_IDS
 EOS_ID = 65_535
 WINDOW = 512
+#: Pre-tokens that a task looks up at a time, and texts that it reads back at a time; a longer document is worked on alone.
+PIECES, TEXTS = 1 << 18, 64
 #: A pre-token is a word, a number or a run of symbols with the space before it, or a run of white space.
 PRETOKEN = rf" ?\p{{L}}+| ?\p{{N}}+| ?[^{WS_CLASS}\p{{L}}\p{{N}}]+|[{WS_CLASS}]+"
 
@@ -43,33 +48,39 @@ def tokenize(df: DataFrame, vocabulary: DataFrame, key: str = "doc_id", text: st
     names = vocabulary.where("token <> ''").select("token", F.col("id").cast("int")).toArrow()  # at most MAX_VOCABULARY rows
     end = EOS_ID
 
-    def look_up(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
+    known, ids = names["token"].combine_chunks(), names["id"].to_numpy()
+
+    def looked_up(batch):
+        pieces = batch.column("_pieces")
+        flat = pieces.flatten()
+        place = pc.index_in(flat, value_set=known)
+        missing = place.is_null().to_numpy(zero_copy_only=False)
+        sizes = np.where(missing, pc.binary_length(flat).to_numpy(zero_copy_only=False), 1).astype(np.int64)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        # every document's end follows its pieces
+        ends = np.concatenate([[0], np.cumsum(pieces.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        owner = np.repeat(np.arange(len(pieces)), np.diff(ends))
+        tokens = np.full(at[-1] + len(pieces), end, np.int32)
+        start = at[:-1] + owner
+        if len(ids):
+            tokens[start[~missing]] = ids[place.fill_null(0).to_numpy()[~missing]]
+        spelled = np.frombuffer("".join(flat.filter(pa.array(missing)).to_pylist()).encode(), np.uint8)
+        sizes = sizes[missing]
+        inner = np.arange(len(spelled)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        tokens[np.repeat(start[missing], sizes) + inner] = spelled
+        offsets = (at[ends] + np.arange(len(pieces) + 1)).astype(np.int32)
+        columns = [batch.column(c) for c in batch.schema.names if c != "_pieces"]
+        return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))], names=schema.names)
 
-        known, ids = names["token"].combine_chunks(), names["id"].to_numpy()
+    def look_up(batches):
         for batch in batches:
-            pieces = batch.column("_pieces")
-            flat = pieces.flatten()
-            place = pc.index_in(flat, value_set=known)
-            missing = place.is_null().to_numpy(zero_copy_only=False)
-            sizes = np.where(missing, pc.binary_length(flat).to_numpy(zero_copy_only=False), 1).astype(np.int64)
-            at = np.concatenate([[0], np.cumsum(sizes)])
-            # every document's end follows its pieces
-            ends = np.concatenate([[0], np.cumsum(pieces.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-            owner = np.repeat(np.arange(len(pieces)), np.diff(ends))
-            tokens = np.full(at[-1] + len(pieces), end, np.int32)
-            start = at[:-1] + owner
-            if len(ids):
-                tokens[start[~missing]] = ids[place.fill_null(0).to_numpy()[~missing]]
-            spelled = np.frombuffer("".join(flat.filter(pa.array(missing)).to_pylist()).encode(), np.uint8)
-            sizes = sizes[missing]
-            inner = np.arange(len(spelled)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            tokens[np.repeat(start[missing], sizes) + inner] = spelled
-            offsets = (at[ends] + np.arange(len(pieces) + 1)).astype(np.int32)
-            columns = [batch.column(c) for c in batch.schema.names if c != "_pieces"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))], names=schema.names)
+            # a few rows at a time, so that memory does not follow the size of a batch
+            many = np.cumsum(batch.column("_pieces").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+            first = 0
+            while first < batch.num_rows:
+                last = max(first + 1, int(np.searchsorted(many, (many[first - 1] if first else 0) + PIECES, "right")))
+                yield looked_up(batch.slice(first, last - first))
+                first = last
 
     cut = df.select(key, *keep, pretokens(F.coalesce(F.col(text), F.lit(""))).alias("_pieces"))
     schema = cut.select(key, *keep, F.lit(None).cast("array<int>").alias("tokens")).schema
@@ -77,16 +88,30 @@ def tokenize(df: DataFrame, vocabulary: DataFrame, key: str = "doc_id", text: st
 
 
 def detokenize(tokenized: DataFrame, vocabulary: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(key, text)`` of ``(key, tokens)``: the texts that were tokenized, character for character."""
-    spelled = vocabulary.select(F.col("id").cast("int").alias("id"), F.hex(F.encode("token", "UTF-8")).alias("_hex"))
-    single = tokenized.sparkSession.range(BYTE_IDS).select(
-        F.col("id").cast("int").alias("id"), F.lpad(F.hex("id"), 2, "0").alias("_hex")
-    )
-    end = tokenized.sparkSession.range(1).select(F.lit(EOS_ID).alias("id"), F.lit("").alias("_hex"))
-    rows = tokenized.select(key, F.posexplode("tokens").alias("_pos", "id"))
-    known = rows.join(F.broadcast(spelled.union(single).union(end)), "id")
-    gathered = known.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_hex"))).alias("_parts"))
-    return gathered.select(key, F.decode(F.unhex(F.array_join("_parts._hex", "")), "UTF-8").alias("text"))
+    """``(key, text)`` of ``(key, tokens)``: the texts that were tokenized, character for character.
+
+    The spellings of all ids are sent to every task (``vocabulary`` has at most ``MAX_VOCABULARY`` rows), so a token never becomes
+    a row. Only token arrays are shuffled, to meet those of the same key: rows of one key are read together, place by place.
+    """
+    names = vocabulary.select(F.col("id").cast("int").alias("id"), F.encode("token", "UTF-8").alias("token")).toArrow()
+    spelled = dict(zip(names["id"].to_pylist(), names["token"].to_pylist())) | {i: bytes([i]) for i in range(BYTE_IDS)} | {EOS_ID: b""}
+    texts = TEXTS
+
+    def read(batches):
+        for batch in batches:
+            for first in range(0, batch.num_rows, texts):
+                part, found = batch.slice(first, texts), []
+                for rows in part.column("_tokens"):
+                    rows = [r.values.to_pylist() for r in rows.values]
+                    if len(rows) == 1:
+                        parts = [spelled[t] for t in rows[0] if t in spelled]
+                    else:
+                        parts = [s for _, s in sorted((p, spelled[t]) for r in rows for p, t in enumerate(r) if t in spelled)]
+                    found.append(b"".join(parts).decode("utf-8", "replace") if parts else None)
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(found, pa.string())], names=[key, "text"])
+
+    gathered = tokenized.where("tokens IS NOT NULL").groupBy(key).agg(F.collect_list("tokens").alias("_tokens"))
+    return gathered.mapInArrow(read, tokenized.select(key, F.lit("").alias("text")).schema).where("text IS NOT NULL")
 
 
 def check_uint16(tokens: Column) -> Column:
