@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwork.operators.classifiers import WORDS, FeatureSet
+from siftwork.operators.classifiers import WORDS, FeatureSet, WordIds, weight_sums
 from siftwork.operators.skew import lookup_join
 from siftwork.session import materialize
 
@@ -36,7 +36,7 @@ class SoftmaxRule:
 
 @dataclass(frozen=True)
 class Softmax:
-    """``weights``: a row per feature with ``w_0 …``, one per class in order."""
+    """``weights``: a row per feature with ``total``, its occurrences in training, and ``w_0 …``, one per class in order."""
 
     weights: DataFrame
     classes: tuple[str, ...]
@@ -53,7 +53,8 @@ def _weights(k: int) -> list[str]:
 
 def _margins(rows: DataFrame, weights: DataFrame, k: int, keep: list[str]) -> DataFrame:
     """``(*keep, n, z_0 …)``: sums of the weights of a document's known features, and how many those are."""
-    known = lookup_join(rows, weights.select("feature", *_weights(k)), ["feature"], F.col(keep[0]))
+    counts = weights.select("feature", F.col("total").alias("n"))
+    known = lookup_join(rows, weights.select("feature", *_weights(k)), ["feature"], F.col(keep[0]), counts=counts)
     sums = [F.sum(F.col("c") * F.col(w)).alias(f"z_{i}") for i, w in enumerate(_weights(k))]
     return known.groupBy(*keep).agg(F.sum("c").alias("n"), *sums)
 
@@ -78,11 +79,13 @@ def train_softmax(
     labelled = df.select(key, F.col(text).alias("text"), number.alias("_y")).where("_y >= 0")
     bags = materialize(_bags(labelled, features, "text", key, "_y"))
     total = bags.groupBy("feature").agg(F.sum("c").alias("_t")).where((F.col("_t") >= rule.min_count) | F.expr(features.is_bias))
-    vocabulary = materialize(total.select("feature"))
-    rows = materialize(lookup_join(bags, vocabulary, ["feature"], F.col(key)))
+    vocabulary = materialize(total.select("feature", F.col("_t").alias("total")))
+    counts = vocabulary.select("feature", F.col("total").alias("n"))
+    rows = materialize(lookup_join(bags, vocabulary.select("feature"), ["feature"], F.col(key), counts=counts))
     sizes = materialize(rows.groupBy(key).agg(F.sum("c").alias("n")))
     mass = rows.join(sizes, key).groupBy("feature").agg(F.sum(F.col("c") * _whole(F.lit(float(RESIDUAL)) / F.col("n"))).alias("mass"))
-    state = materialize(mass.select("feature", "mass", *[F.lit(0).cast("long").alias(w) for w in _weights(k)]))
+    mass = mass.join(vocabulary, "feature")
+    state = materialize(mass.select("feature", "total", "mass", *[F.lit(0).cast("long").alias(w) for w in _weights(k)]))
     for _ in range(rule.rounds):
         margins = _margins(rows, state, k, [key, "_y"])
         masses = _masses(k)
@@ -98,7 +101,7 @@ def train_softmax(
             slope = F.col(f"g_{i}").cast("double") / RESIDUAL + F.col(f"w_{i}") * (rule.l2 / WEIGHT)
             return (F.col(f"w_{i}") - _whole(slope / curvature * WEIGHT)).alias(f"w_{i}")
 
-        state = materialize(state.join(gradient, "feature").select("feature", "mass", *[moved(i) for i in range(k)]))
+        state = materialize(state.join(gradient, "feature").select("feature", "total", "mass", *[moved(i) for i in range(k)]))
     return Softmax(state, tuple(classes), features)
 
 
@@ -108,8 +111,11 @@ def softmax_scores(df: DataFrame, model: Softmax, key: str = "doc_id", text: str
     A document without known features but the bias is judged by the bias alone.
     """
     k = len(model.classes)
-    bags = _bags(df.select(key, text), model.features, text, key)
-    margins = _margins(bags, model.weights, k, [key])
+    if isinstance(model.features, WordIds):
+        sums = weight_sums(df, model.weights, _weights(k), model.features, [key], text)
+        margins = sums.select(key, F.col("_n").alias("n"), *[F.col(w).alias(f"z_{i}") for i, w in enumerate(_weights(k))])
+    else:
+        margins = _margins(_bags(df.select(key, text), model.features, text, key), model.weights, k, [key])
     masses = _masses(k)
     zs = [F.col(f"z_{i}") for i in range(k)]
     label = F.coalesce(*[F.when(z == F.greatest(*zs), c) for z, c in zip(zs, model.classes)])
