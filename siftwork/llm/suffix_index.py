@@ -28,16 +28,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.llm.batches import BASE, list_array, mix, random_values, views, with_text_columns
-from siftwork.llm.tables import saved, small_side
+from siftwork.llm.tables import saved
+from siftwork.llm.tables import small_side as bounded_side
 
 MATCH, GRAM, BLOCK = 200, 40, 17
 #: Batches a corpus is added in.
 BATCHES = 3
+#: Bytes of a side table that is broadcast; the driver holds several copies of one while it sends it.
+SIDE_BYTES = 32 << 20
 _PLACE = 31  # bits of a position in a view
 _REACH = MATCH - GRAM  # the largest distance of a window's start to its anchor
 _INT32 = "p int, lo int, hi int"
 
 
+def small_side(df: DataFrame) -> DataFrame:
+    return bounded_side(df, SIDE_BYTES)
+
+
 class _Sums:
     """Hashes of any spans of a view by running sums; one per task."""
 
