@@ -100,3 +100,15 @@ def test_requests_beyond_their_bound_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(suffix_index, "SIDE_BYTES", 0)
     assert sorted(suffix_index.removed_digests(docs).collect()) == within
     assert suffix_index.removed_digests(docs).where("n_removed > 0").count() == 6
+
+
+def test_words_are_hashed_in_the_task_as_spark_does(spark, monkeypatch):
+    spaces = "".join(f"{c}w{i}" for i, c in enumerate(T.WS_CHARS))
+    texts = [None, "", " ", "a", "É​x\u0085y", spaces, "x" * 31, "y" * 32, "z" * 33 + " " + "q" * 100 + "é", *["ab" * n for n in range(1, 9)], "end", "İ Σς ΟΔΟΣ"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string").coalesce(1)
+    expected = sorted(map(tuple, C.WORDS.explode(docs, "text").groupBy("feature").count().collect()))
+    found = C.feature_counts(docs, (), C.WORDS)
+    assert sorted(map(tuple, found.select("feature", "total").collect())) == expected
+    assert "transform" not in plan(found)  # no word becomes a value of its own in the JVM
+    monkeypatch.setattr(C, "STRETCH", 3)
+    assert sorted(map(tuple, C.feature_counts(docs, (), C.WORDS).select("feature", "total").collect())) == expected
