@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -405,6 +406,28 @@ def test_passages_around_a_notice_that_a_lower_id_has_elsewhere(docs):
     assert by_row == {i: (c,) for i, (c, _) in found.items()}
 
 
+def test_cells_are_passed_on_in_bounded_batches_and_packed(docs, monkeypatch):
+    """A task that passed on all cells of a batch at once took more memory than an executor had."""
+    table = docs([" ".join(prose(i % 9, 300, 10**6).split()[i:]) for i in range(40)] + ["", "few words"])
+    found = by_id(passages.classes(table), "class_id", "n_links", "longest")
+    monkeypatch.setattr(passages, "CELLS", 50)
+    monkeypatch.setattr(passages, "VIEW", 4000)
+    monkeypatch.setattr(passages, "GRAMS", 500)
+    assert by_id(passages.classes(table), "class_id", "n_links", "longest") == found
+
+    class Rows:
+        dtypes = [("id", "bigint"), ("_text", "string")]
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = pa.array([row.text for row in table.orderBy("doc_id").collect()])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), texts], names=["id", "_text"])
+    parts = list(passages._cell_rows(Rows())(iter([batch])))
+    assert len(parts) > 10 and max(p.num_rows for p in parts) <= 50
+    assert parts[0].schema.names == ["a", "diagonal", "id", "place", "key"]
+
+
 def test_passages_of_many_pairs_are_those_of_each(monkeypatch):
     r = np.random.default_rng(4)
     xs, ys = [], []
