@@ -64,6 +64,18 @@ def test_scores_of_a_model_larger_than_a_task_gets(spark, monkeypatch, unknown):
     assert sorted(C.feature_counts(docs, (C.QUALITY,), C.WORDS).select("feature", "total").collect()) == sorted(map(tuple, counted.collect()))
 
 
+def test_features_of_no_model_are_not_shuffled(spark, monkeypatch):
+    train = [(i, f"word{i % 7} and word{i % 5}", ("cc", "wiki")[i % 2]) for i in range(40)]
+    model = C.train(spark.createDataFrame(train, "doc_id int, text string, quality string"), (C.QUALITY,), C.WORDS)
+    docs = spark.createDataFrame([(i, f"word{i % 7} " + " ".join(f"new{i}x{j}" for j in range(50))) for i in range(20)], "doc_id int, text string")
+    whole = sorted(C.score_sums(docs, model, (C.QUALITY,), C.WORDS, ["doc_id"]).collect())
+    monkeypatch.setattr(C, "FREQUENT", 9)
+    stored = []
+    monkeypatch.setattr(C, "materialize", lambda df: stored.append(df) or materialize(df))
+    assert sorted(C.score_sums(docs, model, (C.QUALITY,), C.WORDS, ["doc_id"]).collect()) == whole and len(whole) == 20
+    assert stored[0].agg(F.sum(F.size("_rest"))).first()[0] < 100  # of 2,000 words and pairs that the model does not have
+
+
 def test_read_back_tokens_are_no_rows(spark):
     rows = [(1, "a b\né"), (2, ""), (3, None), (4, "a b"), (4, "a c")]
     docs = spark.createDataFrame(rows, "doc_id int, text string")
