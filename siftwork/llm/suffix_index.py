@@ -13,6 +13,9 @@ about one anchor in 70 bytes.
   aggregation; of equal surroundings one anchor stands for all in the next step. So no group is expanded into pairs, and
   no group has to fit into a task.
 
+Texts are needed four times, so they are stored in buckets by id first and shuffled only for that; whatever is asked about
+them is shuffled to the buckets.
+
 Decisions rest on 128 bits of hashes. Defined results: null texts are empty; matches never cross documents; a text of fewer
 than ``MATCH`` bytes loses nothing; equal texts of at least ``MATCH`` bytes lose everything. Keys must be unique, except for
 rows that are equal; rows with a null key are left out.
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.llm.batches import BASE, list_array, mix, random_values, views, with_text_columns
-from siftwork.llm.tables import saved
+from siftwork.llm.tables import saved, saved_by
 from siftwork.llm.tables import small_side as bounded_side
 
 MATCH, GRAM, BLOCK = 200, 40, 17
@@ -280,7 +283,11 @@ def _united(spans: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", batches: int = BATCHES) -> DataFrame:
     """``(id, starts, ends)`` of the documents with repeated strings: the byte spans to remove, ends exclusive."""
-    texts = _texts(docs, key, text)
+    return _spans(_texts(docs, key, text), batches)
+
+
+def _spans(texts: DataFrame, batches: int) -> DataFrame:
+    """:func:`repeated_spans` of texts as stored by :func:`_texts`."""
     found = saved(anchors(texts).withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int")), "anchors")
     index, alike = SuffixIndex(), None
     for b in range(batches):
@@ -297,7 +304,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", bat
 
 
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("_text"))
+    """``(id, _text)`` in buckets by id: texts are shuffled once, and requests and spans come to them."""
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("_text"))
+    return saved_by(rows, "id", "texts")
 
 
 def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", batches: int = BATCHES) -> DataFrame:
@@ -312,8 +321,8 @@ def removed_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", ba
 
 
 def _applied(docs: DataFrame, key: str, text: str, batches: int, last, kind: str, name: str) -> DataFrame:
-    spans = repeated_spans(docs, key, text, batches)
-    joined = _texts(docs, key, text).join(small_side(spans), "id", "left")
+    texts = _texts(docs, key, text)
+    joined = texts.join(small_side(_spans(texts, batches)), "id", "left")
     id_kind = dict(joined.dtypes)["id"]
 
     def run(batches):

@@ -280,6 +280,20 @@ def test_repeats_equal_brute_force(docs, batches):
     assert found == brute.without_repeats(dict(enumerate(texts)))
 
 
+def test_repeats_with_texts_shuffled_once(spark, docs, monkeypatch):
+    monkeypatch.setattr(suffix_index, "SIDE_BYTES", 0)
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = repeating_texts()
+        result = suffix_index.removed_digests(docs(texts))
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(id") == 1  # the spans; the texts are where they go
+        assert by_id(result, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.without_repeats(dict(enumerate(texts)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+
+
 def test_levels_merge_geometrically(spark):
     index = suffix_index.SuffixIndex()
     for b in range(7):
