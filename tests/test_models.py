@@ -3,9 +3,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from siftwork.functions import word_hashes as W
 from siftwork.operators import classifiers as C
 from siftwork.operators import language as L
 from siftwork.operators import reports, sampling
@@ -195,3 +197,53 @@ def test_sampling(spark):
         sampling.manifest_chunks(df, "label", 10, 4)
     with pytest.raises(RuntimeError):
         sampling.require_rows(df.limit(3), 5, "too few")
+
+
+def test_balancing_finds_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(i, "wiki" if i % 4 == 0 else "cc") for i in range(200)], "doc_id long, label string")
+    found = sampling.balance_classes(df.mapInArrow(count, "doc_id long, label string"), "doc_id", "label", ("wiki", "cc"), cap=20)
+    assert found.count() == 40 and seen.value == 200
+
+
+@pytest.mark.parametrize("dense", [1 << 22, 1])
+def test_trigrams_in_the_task_are_those_of_the_rows(spark, monkeypatch, dense):
+    monkeypatch.setattr(W, "_DENSE", dense)
+    r = random.Random(4)
+    abc = "abc d\u00e9\u00fc\u0df4\u4e2d\u6587\U00020000\U0001d400 .1\nzZ\u00c4"
+    texts = ["".join(r.choice(abc) for _ in range(r.randrange(60))) for _ in range(100)]
+    texts += [None, "", " ", "a", "...", "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(1000))]
+    rows = [(i, t, ("en", "de", None, "fr")[i % 4]) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    exploded, head = C.FeatureIds(C.TRIGRAMS.units, 3, C.TRIGRAMS.ids), C.Head("lang", ("de", "en"), 2.0)
+    same = lambda a, b: sorted(map(tuple, a.select(*b.columns).collect())) == sorted(map(tuple, b.collect()))
+    if dense > 1:
+        assert same(C.feature_counts(df, (head,), C.TRIGRAMS), C.feature_counts(df, (head,), exploded))
+        model = C.train(df, (head,), exploded)
+        for unknown, when in ((True, None), (False, None), (True, F.col("doc_id") % 3 != 0)):
+            found, wanted = (C.score_sums(df, model, (head,), f, ["doc_id"], when=when, unknown=unknown) for f in (C.TRIGRAMS, exploded))
+            assert same(found, wanted)
+        return
+    few = pa.array([t for t in texts if t][:20])  # tasks do not see the patch; here runs are sorted
+    runs = W.Trigrams(few)
+    sorted_counts = {int(i): int(n) for i, n in zip(*runs.counts(np.ones(20, bool)))}
+    sums = runs.sums(lambda ids: [ids.view(np.int64) >> 20])[0]
+    monkeypatch.setattr(W, "_DENSE", 1 << 30)
+    assert sorted_counts == {int(i): int(n) for i, n in zip(*runs.counts(np.ones(20, bool)))}
+    assert (sums == runs.sums(lambda ids: [ids.view(np.int64) >> 20])[0]).all()
+
+
+def test_places_at_the_ends():
+    top = ~np.uint64(0)
+    for known in ([5, 1 << 63, int(top)], [5, 7], []):
+        known = np.array(known, np.uint64)
+        starts = np.searchsorted(known, np.arange(1 << C._LEADING, dtype=np.uint64) << np.uint64(64 - C._LEADING))
+        found = np.array([0, 5, 6, 7, 1 << 63, int(top) - 1, int(top)], np.uint64)
+        place, hit = C._places(known, starts, found)
+        assert hit.tolist() == np.isin(found, known).tolist() and (known[place[hit]] == found[hit]).all()
