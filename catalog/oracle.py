@@ -360,11 +360,6 @@ BANDS = [
     )
     + ")",
 ]
-STARS = [
-    *BANDS,
-    "firsts AS (SELECT band, bucket, min(doc_id) AS a FROM bands GROUP BY band, bucket HAVING count(*) > 1)",
-    "links AS (SELECT DISTINCT a, doc_id AS b FROM bands JOIN firsts USING (band, bucket) WHERE doc_id <> a)",
-]
 
 
 def jaccard(pairs: str, name: str) -> list[str]:
@@ -553,7 +548,9 @@ ORACLE: dict[str, str] = {
         FROM (SELECT count(*) AS n FROM documents GROUP BY {flat('lower(nfc_normalize(text))')})""",
     "ngram_counts": with_(GRAMS, "SELECT doc_id, coalesce(n, 0) AS n_grams FROM documents LEFT JOIN gram_sizes USING (doc_id)"),
     "minhash_signature": with_(SIGNATURES, "SELECT * FROM signature"),
-    "lsh_candidates": with_(STARS, "SELECT a, b FROM links"),
+    "lsh_candidates": with_(
+        BANDS, "SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM bands x JOIN bands y USING (band, bucket) WHERE x.doc_id < y.doc_id"
+    ),
     "lsh_buckets": with_(
         BANDS, "SELECT doc_id, band, min(doc_id) OVER w AS leader, count(*) OVER w AS n FROM bands WINDOW w AS (PARTITION BY band, bucket) QUALIFY n > 1"
     ),

@@ -127,6 +127,20 @@ def test_clusters_equal_brute_force_with_hot_buckets(spark, tiny_salts):
     assert kept == sorted(i for i, _ in rows if expected.get(i, i) == i)
 
 
+def test_candidates_are_all_pairs_of_every_bucket(spark, tiny_salts, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 3)  # buckets of many blocks
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abc") + str(j) if rng.random() < 0.1 else f"w{j}" for j in range(24))) for i in range(30)]
+    rows += [(100 + i, rows[3][1]) for i in range(15)] + [(200, "too short"), (201, ""), (None, rows[3][1]), (3, rows[3][1])]
+    p = N.MinHashParameters(num_hashes=12, num_bands=6, ngrams=2, threshold=0.75)
+    members = {}
+    for r in N.band_rows(N.signatures(N.with_grams(docs(spark, rows), p.ngrams), p, ["doc_id"]), p, "doc_id").where("doc_id IS NOT NULL").collect():
+        members.setdefault((r["band"], r["b0"], r["b1"]), []).append(r["doc_id"])
+    expected = {tuple(sorted(c)) for m in members.values() for c in itertools.combinations(m, 2)}
+    assert len(expected) > sum(len(m) - 1 for m in members.values()) and max(map(len, members.values())) > 15
+    assert sorted(map(tuple, N.candidate_links(docs(spark, rows), p).collect())) == sorted(expected)
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
 def test_prefix_join_finds_all_pairs(spark, tiny_salts, threshold):
     rng = random.Random(11)
