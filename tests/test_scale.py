@@ -10,6 +10,7 @@ from siftwork.functions import text as T
 from siftwork.operators import classifiers as C
 from siftwork.operators import near_duplicates as N
 from siftwork.operators import tokens as K
+from siftwork.operators import softmax, softmax_arrays
 from siftwork.operators.softmax import SoftmaxRule, softmax_scores, train_softmax
 from siftwork.llm import suffix_index
 
@@ -105,6 +106,26 @@ def test_softmax_scores_of_a_model_larger_than_a_task_gets(spark, monkeypatch):
     assert "Generate explode(concat" not in plan(scored)  # the texts are not taken apart into rows
 
 
+def test_softmax_rounds_over_arrays_are_those_over_rows_and_move_no_features(spark, monkeypatch):
+    rows = [(i, f"word{i % 7} and word{i % 5} or Other{i % 3} and lone{i}", ("cc", "wiki", None)[i % 3]) for i in range(40)]
+    rows += [(3, rows[3][1], "cc"), (4, "word4 again", "cc"), (4, "word4 again", "wiki"), (None, "word4 lost lost", "cc"), (50, None, "cc"), (51, "", "wiki")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, quality string")
+    plans, found = [], []
+    met = softmax_arrays._with_weights
+    monkeypatch.setattr(softmax_arrays, "_with_weights", lambda *a: plans.append(plan(x := met(*a))) or x)
+    monkeypatch.setattr(softmax_arrays, "GATHER_BYTES", 200)
+    for documents, part, piece, block in ((10**6, 1 << 20, 1 << 20, 1 << 16), (10**6, 500, 9, 10), (0, 1, 1, 1)):
+        monkeypatch.setattr(softmax, "DOCUMENTS", documents)
+        monkeypatch.setattr(softmax_arrays, "PART_BYTES", part)
+        monkeypatch.setattr(softmax_arrays, "PIECE", piece)
+        monkeypatch.setattr(softmax_arrays, "BLOCK", block)
+        weights = train_softmax(docs, "quality", ("cc", "wiki"), rule=SoftmaxRule(rounds=3)).weights
+        found.append(sorted(map(tuple, weights.select("feature", "total", "w_0", "w_1").collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 20 and any(w[2] for w in found[0])
+    assert len(plans) == 8 and all("ShuffledHashJoin" in p and "Exchange" not in p for p in plans[1:4] + plans[5:])
+    assert train_softmax(docs.where("false"), "quality", ("cc", "wiki"), rule=SoftmaxRule(rounds=2)).weights.count() == 0
+
+
 def test_requests_beyond_their_bound_are_not_broadcast(spark, monkeypatch):
     passage = " ".join(f"token{i}" for i in range(60))
     docs = spark.createDataFrame([(i, f"start {i} {passage} end {i}") for i in range(6)], "doc_id bigint, text string")
