@@ -99,7 +99,8 @@ def train_softmax(
     """Fit on the rows of ``df`` whose ``label`` is one of ``classes``; others are not used. Keys must be unique."""
     k = len(classes)
     number = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
-    labelled = df.select(key, F.col(text).alias("text"), number.alias("_y")).where("_y >= 0")
+    # stored, as joining texts with labels may shuffle the texts
+    labelled = materialize(df.select(key, F.col(text).alias("text"), number.alias("_y")).where("_y >= 0"))
 
     def residuals() -> list[Column]:
         masses = _masses(k)

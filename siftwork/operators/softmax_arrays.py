@@ -194,18 +194,29 @@ def _rows(names: list[str]):
     return run
 
 
+def _numbered(table: DataFrame) -> DataFrame:
+    """A stored table with its rows numbered from 0 as ``u``, stored: by place in a task, after the rows of the tasks before."""
+    placed = materialize(table.withColumn("_place", F.monotonically_increasing_id()))
+    task = F.shiftright("_place", 33).cast("int")
+    sizes = sorted(map(tuple, placed.groupBy(task).agg(F.count(F.lit(1))).collect()))
+    before = np.cumsum([0, *[c for _, c in sizes]]).tolist()
+    offsets = table.sparkSession.createDataFrame([(t, o) for (t, _), o in zip(sizes, before)], "_task int, _before bigint")
+    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    met = placed.withColumn("_task", task).join(F.broadcast(offsets), "_task")
+    return materialize(met.withColumn("u", (F.col("_before") + within).cast("int")).drop("_task", "_before", "_place"))
+
+
 def train(
     labelled: DataFrame, units: DataFrame, key: str, names: list[str], rule, residuals: Callable[[], list[Column]], weight: int, residual: int
 ) -> DataFrame:
     """``(feature, total, *names)``, stored: the weights after all rounds.
 
-    ``units`` are the distinct ``(key, _y)`` of ``labelled``; rows of one are one document. ``residuals`` are of the columns ``z_0 …``, ``n`` and ``_y``.
+    ``labelled`` is stored, ``units`` are its distinct ``(key, _y)``, stored; rows of one are one document. ``residuals`` are of the columns ``z_0 …``, ``n`` and ``_y``.
     """
-    session, count = labelled.sparkSession, units.count()
-    number = F.row_number().over(Window.orderBy(key, "_y")) - 1  # of documents that every task may know
-    units = materialize(units.withColumn("u", number))
-    texts = labelled.join(F.broadcast(units), [key, "_y"], "left")
-    texts = texts.select(F.coalesce("u", F.lit(-1)).alias("_u"), F.lower("text").alias("_text"))
+    session, count = units.sparkSession, units.count()
+    units = _numbered(units)
+    known_unit = F.broadcast(units)  # of documents that every task may know
+    texts = labelled.join(known_unit, [key, "_y"], "left").select(F.coalesce("u", F.lit(-1)).alias("_u"), F.lower("text").alias("_text"))
     size = labelled.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, min(session.sparkContext.defaultParallelism, -(-size // PART_BYTES)))
     fine = n * max(1, -(-size // (n * GATHER_BYTES)))
